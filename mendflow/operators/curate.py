@@ -72,7 +72,10 @@ def _samples(flagged: DataFrame, columns: Sequence[str], sample_size: int) -> Da
         .filter(F.col("__rn") <= sample_size)
         .withColumn("__values", _values(columns))
     )
-    picked = F.transform("flagged", lambda c: F.struct(c, F.element_at("__values", c)))
+    picked = F.transform(
+        "flagged",
+        lambda c: F.struct(c.alias("column"), F.element_at("__values", c).alias("value")),
+    )
     return cut.groupBy("signature").agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("__rn", picked.alias("v")))), lambda s: s["v"]
@@ -145,18 +148,20 @@ def transform_scores(
 ) -> DataFrame:
     """Share of failing rows each candidate would repair, per signature and rule.
 
-    One aggregation over all rows; a null result does not count as repaired.
+    One aggregation over all rows. A repaired value must also read as the column's own type; a
+    null result does not count as repaired.
     """
     tried = [c for c in parse_checks(checks) if c.function in VALUE_CHECKS and c.columns[0] in df.columns]
     schema = "signature string, rule string, column string, n_rows bigint, candidate int, share double"
     if not tried or not candidates:
         return df.sparkSession.createDataFrame([], schema)
+    types = dict(df.dtypes)
     aggs, rows = [], []
     for i, check in enumerate(tried):
         mine = F.array_contains("rule_violations", check.name)
         aggs.append(F.count_if(mine).alias(f"__n{i}"))
         for k, steps in enumerate(candidates):
-            fixed = chain(steps, F.col(check.columns[0]))
+            fixed = chain(steps, F.col(check.columns[0])).try_cast(types[check.columns[0]])
             passes = fixed.isNotNull() & ~value_fails(check, fixed)
             aggs.append(F.count_if(mine & passes).alias(f"__p{i}_{k}"))
             rows.append(

@@ -42,10 +42,21 @@ def triage(
 
     ``requeue="newer"`` also returns rows that failed again after reaching a terminal status.
     """
+    return triage_latest(latest_quarantined(quarantine), queue, quarantine_fqn, run_id, as_of, requeue)
+
+
+def triage_latest(
+    latest: DataFrame,
+    queue: DataFrame,
+    quarantine_fqn: str,
+    run_id: str,
+    as_of: Column | None = None,
+    requeue: str = "never",
+) -> DataFrame:
+    """``triage`` for rows already cut to their newest version."""
     if requeue not in ("never", "newer"):
         raise ValueError("requeue must be 'never' or 'newer'")
     as_of = F.current_timestamp() if as_of is None else as_of
-    latest = latest_quarantined(quarantine)
     tracked = queue.filter(F.col("quarantine_fqn") == quarantine_fqn)
     if requeue == "newer":
         done = F.col("status").isin(*S.TERMINAL_STATUSES)

@@ -1,8 +1,9 @@
 """One remediation pass over one quarantine table, from triage to the merged clean table.
 
 Every step returns lazy DataFrames; nothing but the playbook entries and the checks of the
-table is held by the driver. Two results are written to the checkpoint folder because several
-outputs read them: the queue after curation, and the re-validated rows.
+table is held by the driver. Three results are written to the checkpoint folder because several
+outputs read them: the newest quarantined rows, the queue after curation, and the re-validated
+rows.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ class Pass:
 
 
 def curated_queue(
-    quarantine: DataFrame,
+    latest: DataFrame,
     queue: DataFrame,
     quarantine_fqn: str,
     run_id: str,
@@ -45,9 +46,11 @@ def curated_queue(
     requeue: str = "never",
     as_of: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Triage, playbook and proposals: the updated queue and the row decisions."""
-    latest = Q.latest_quarantined(quarantine)
-    new = Q.triage(quarantine, queue, quarantine_fqn, run_id, as_of, requeue)
+    """Triage, playbook and proposals: the updated queue and the row decisions.
+
+    Playbook and proposals cover different rows, so the queue is joined with both at once.
+    """
+    new = Q.triage_latest(latest, queue, quarantine_fqn, run_id, as_of, requeue)
     queued = queue.unionByName(new)
     open_ids = queued.filter(
         (F.col("quarantine_fqn") == quarantine_fqn) & (F.col("status") == S.PENDING)
@@ -56,14 +59,14 @@ def curated_queue(
 
     usable = playbook.usable_entries(entries, quarantine_fqn)
     handled = playbook.apply_playbook(pending, usable)
-    queued = Q.apply_queue_updates(
-        queued, playbook.playbook_updates(handled, quarantine_fqn, run_id, as_of)
-    )
     rest = curate.with_signature(
         playbook.route_playbook(pending, usable).filter("entry_idx is null").drop("entry_idx")
     )
     decisions = curate.apply_proposals(rest, propose(rest))
-    updates = curate.decisions_to_updates(decisions, quarantine_fqn, run_id, threshold, as_of)
+    updates = playbook.playbook_updates(handled, quarantine_fqn, run_id, as_of).unionByName(
+        curate.decisions_to_updates(decisions, quarantine_fqn, run_id, threshold, as_of),
+        allowMissingColumns=True,
+    )
     return Q.apply_queue_updates(queued, updates), decisions
 
 
@@ -93,8 +96,9 @@ def remediate(
     run takes them up again.
     """
     propose = propose or (lambda rows: curate.search_transforms(rows, checks))
+    latest = cut(Q.latest_quarantined(quarantine))
     queued, decisions = curated_queue(
-        quarantine, queue, quarantine_fqn, run_id, entries, propose, threshold, requeue, as_of
+        latest, queue, quarantine_fqn, run_id, entries, propose, threshold, requeue, as_of
     )
     queued = cut(queued)
 
@@ -110,7 +114,6 @@ def remediate(
     removed = ready.filter(is_drop).select("row_id", F.lit("removed").alias("outcome"))
     to_check = ready.filter(~is_drop)
 
-    latest = Q.latest_quarantined(quarantine)
     columns = S.data_columns(latest)
     if reingestable:
         candidates = reingest.apply_patch(

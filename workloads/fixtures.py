@@ -20,11 +20,13 @@ DIALECT = {
         "text": "STRING",
         "upd": "timestampadd(DAY, CAST(o_orderkey % 7 AS INT), o_orderdate)",
         "sha": "sha2({0}, 256)",
+        "check": "`check`",
     },
     "duckdb": {
         "text": "VARCHAR",
         "upd": "o_orderdate + to_days(CAST(o_orderkey % 7 AS INTEGER))",
         "sha": "sha256({0})",
+        "check": '"check"',
     },
 }
 
@@ -34,6 +36,7 @@ def _fill(sql: str, dialect: str) -> str:
     return (
         sql.replace("{TEXT}", d["text"])
         .replace("{UPD}", d["upd"])
+        .replace("{CHECK}", d["check"])
         .replace("{ROWID}", d["sha"].format(f"CAST(o_orderkey AS {d['text']})"))
     )
 
@@ -81,7 +84,7 @@ QUEUE = """SELECT concat('q', CAST(o_orderkey AS {TEXT})) AS review_id,
   CASE WHEN o_orderkey % 3 = 1 THEN CASE WHEN o_orderstatus = 'P' THEN 'reject' ELSE 'fix' END END AS agent_decision,
   CASE WHEN o_orderkey % 10 = 7 THEN 'drop' WHEN o_orderkey % 10 = 8 THEN 'keep'
        WHEN o_orderkey % 10 < 5 THEN 'patch_fields' END AS remediation_action,
-  CASE WHEN o_totalprice > 100000 THEN 1.0E0 ELSE 0.7E0 END AS confidence,
+  CASE WHEN o_totalprice > 100000 OR o_orderpriority = '5-LOW' THEN 1.0E0 ELSE 0.7E0 END AS confidence,
   CASE o_orderkey % 11 WHEN 0 THEN 'pending' WHEN 1 THEN 'curated' WHEN 2 THEN 'escalated'
        WHEN 3 THEN 'rejected' WHEN 4 THEN 'resolved_duplicate' WHEN 5 THEN 'resolved_removed'
        WHEN 6 THEN 'revalidated_pass' WHEN 7 THEN 'revalidated_fail' WHEN 8 THEN 'reingested'
@@ -99,15 +102,15 @@ RULES = """SELECT concat('r', CAST(p_partkey AS {TEXT})) AS rule_id,
          '{"name":"', p_name, ' b","user_metadata":{"monitor_only":"true"}}]')
        ELSE concat('{"name":"', p_name, '","criticality":"', CASE WHEN p_size > 25 THEN 'warn' ELSE 'error' END,
          '","check":{"function":"is_in_range"},"user_metadata":{"monitor_only":"',
-         CASE WHEN p_size > 40 THEN ' TRUE ' ELSE 'false' END, '"}}') END AS check
+         CASE WHEN p_size > 40 THEN ' TRUE ' ELSE 'false' END, '"}}') END AS {CHECK}
 FROM part"""
 
 UNIVERSAL = """SELECT concat('u', CAST(p_partkey AS {TEXT})) AS rule_id,
   CASE WHEN p_size > 25 THEN upper(p_name) ELSE p_name END AS rule_fqn,
   CASE WHEN p_size = 50 THEN NULL ELSE CAST(p_size AS INT) END AS version, p_partkey AS updated_at,
   CASE WHEN p_type = 'PROMO' THEN 'draft' WHEN p_type = 'LARGE' THEN 'APPROVED' ELSE 'approved' END AS status,
-  concat('{"name":"{{column}}_nn","check":{"function":"is_not_null","arguments":{"column":"${column}",',
-         '"columns":"{{columns}}","note":"', p_name, ' of {{columns_csv}} or __COLUMNS__"}}}') AS check
+  concat('{"name":"{{column}}_nn","check":{"function":"is_not_null","arguments":{"column":"$', '{column}",',
+         '"columns":"{{columns}}","note":"', p_name, ' of {{columns_csv}} or __COLUMNS__"}}}') AS {CHECK}
 FROM part"""
 
 CUSTOMERS = """SELECT c_custkey AS customer_key, c_mktsegment AS segment, c_acctbal AS balance,
