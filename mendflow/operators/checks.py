@@ -117,8 +117,10 @@ def value_fails(check: Check, value: Column) -> Column:
 Refs = Mapping[str, DataFrame]
 
 
-def _mark(df: DataFrame, flagged: DataFrame, on: Sequence[str], hidden: str, hot=None) -> DataFrame:
-    out = lookup.lookup_join(df, flagged.select(*on, F.lit(True).alias(hidden)), on, hot)
+def _mark(
+    df: DataFrame, flagged: DataFrame, counts: DataFrame, on: Sequence[str], hidden: str
+) -> DataFrame:
+    out = lookup.counted_join(df, flagged.select(*on, F.lit(True).alias(hidden)), counts, on)
     return out.withColumn(hidden, F.coalesce(F.col(hidden), F.lit(False)))
 
 
@@ -126,7 +128,8 @@ def _is_unique(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFram
     """Flag every row of a repeated key.
 
     Keys are counted with map-side partial counts and only repeated keys are joined back; a
-    window over the key would put all copies of a hot key into one task.
+    window over the key would put all copies of a hot key into one task. ``by_digest`` compares
+    SHA-256 digests, so that long texts are not shuffled as keys.
     """
     columns = check.columns
     folded = set(check.arguments.get("ci_columns") or [])
@@ -135,7 +138,7 @@ def _is_unique(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFram
     exprs = {}
     for key, c in zip(keys, columns):
         value = F.lower(c) if c in folded else F.col(c)
-        exprs[key] = value
+        exprs[key] = F.sha2(value.cast("string"), 256) if check.arguments.get("by_digest") else value
     on = list(keys)
     if not distinct_nulls:
         # Nulls compare equal: keep a marker next to a non-null stand-in.
@@ -151,8 +154,7 @@ def _is_unique(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFram
         .agg(F.count("*").alias("__n"))
         .filter("__n > 1")
     )
-    marked = _mark(keyed, counts, on, hidden, lookup.heaviest(counts, on, "__n"))
-    return marked.drop(*exprs)
+    return _mark(keyed, counts, counts, on, hidden).drop(*exprs)
 
 
 def _ref(refs: Refs, name: str) -> DataFrame:
@@ -178,7 +180,7 @@ def _foreign_key(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFr
         .distinct()
     )
     orphans = counts.join(known, keys, "left_anti")
-    return _mark(keyed, orphans, keys, hidden, lookup.heaviest(orphans, keys, "__n")).drop(*keys)
+    return _mark(keyed, orphans, counts, keys, hidden).drop(*keys)
 
 
 def _sql_query(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFrame:

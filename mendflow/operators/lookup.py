@@ -1,13 +1,16 @@
 """Joins that attach a lookup to rows whose keys may be badly skewed.
 
 One key (or the null key) may hold a third of all rows. Spark's adaptive skew join helps when
-it fires; these helpers do not depend on it:
-
-* ``lookup_join``  finds the at most ``MAX_HOT_KEYS`` heaviest keys, spreads their rows over
-  ``SALTS`` partitions and repeats only their lookup rows. Every other key then holds less than
-  ``1 / MAX_HOT_KEYS`` of the rows. The only forced broadcast is that list of keys, bounded by
-  the limit that builds it.
-* ``class_join``   is for lookups with one row per failure class (few rows, huge groups): every
+it fires; these helpers do not depend on it. Rows of the heaviest keys are spread over ``SALTS``
+partitions and only the lookup rows of those keys are repeated; rows with a null key are spread
+too. Results stay exact whichever keys are found to be heavy.
+
+* ``lookup_join`` finds the heavy keys with a mergeable top-k sketch: one pass over the key
+  columns that shuffles sketches, not keys. It runs when the plan is built and brings back at
+  most ``MAX_HOT_KEYS`` hash values.
+* ``counted_join`` is for checks that count their keys anyway: the heaviest counted keys are
+  broadcast as hash values, bounded by the same limit, without an extra job.
+* ``class_join`` is for lookups with one row per failure class (few rows, huge groups): every
   lookup row is repeated ``SALTS`` times.
 
 The salt is the partition number of the row, so a recomputed task gives the same salt again
@@ -19,13 +22,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 1024
+MAX_HOT_KEYS = 256
 HOT_KEY_ROWS = 100_000
 SALTS = 256
 
+# Sketch size: keys above about 0.1 % of the rows are found.
+TRACKED_KEYS = 4096
+SKETCH_GROUPS = 1000
+
 
 def any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
@@ -35,47 +42,67 @@ def _spread(salts: int) -> Column:
     return F.pmod(F.spark_partition_id(), F.lit(salts))
 
 
-def heaviest(counts: DataFrame, on: Sequence[str], n: str) -> DataFrame:
-    """The at most ``MAX_HOT_KEYS`` keys that hold ``HOT_KEY_ROWS`` rows or more."""
-    return (
-        counts.filter(F.col(n) >= HOT_KEY_ROWS)
-        .orderBy(F.col(n).desc(), *on)
-        .limit(MAX_HOT_KEYS)
-        .select(*on)
+def _salted_join(
+    df: DataFrame, lookup: DataFrame, on: list[str], hot_row: Column, hot_copy: Column, salts: int
+) -> DataFrame:
+    salt = (
+        F.when(any_null(on), -1 - _spread(salts)).when(hot_row, _spread(salts)).otherwise(F.lit(0))
     )
+    copies = F.when(hot_copy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left = df.withColumn("__salt", salt.cast("int"))
+    right = lookup.withColumn("__salt", F.explode(copies))
+    return left.join(right, [*on, "__salt"], "left").drop("__salt", "__hot", "__hash")
 
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
-    counts = df.filter(~any_null(on)).groupBy(*on).agg(F.count("*").alias("__n"))
-    return heaviest(counts, on, "__n")
+def hot_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
+    """Hashes of the heaviest keys, at most ``MAX_HOT_KEYS``; keys with a null do not count.
+
+    Sketches are merged in two steps so that no task receives one from every input task.
+    """
+    keys = df.filter(~any_null(on)).select(F.xxhash64(*on).alias("h"))
+    sketches = (
+        keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED_KEYS})").alias("s"))
+        .agg(F.expr(f"approx_top_k_combine(s, {TRACKED_KEYS})").alias("s"))
+    )
+    top = sketches.selectExpr(f"inline(approx_top_k_estimate(s, {MAX_HOT_KEYS}))")
+    return [r["item"] for r in top.filter(F.col("count") >= HOT_KEY_ROWS).collect()]
 
 
 def lookup_join(
-    df: DataFrame,
-    lookup: DataFrame,
-    on: Sequence[str],
-    hot: DataFrame | None = None,
-    salts: int = SALTS,
+    df: DataFrame, lookup: DataFrame, on: Sequence[str], salts: int = SALTS
 ) -> DataFrame:
     """Left join ``df`` to a lookup that is unique on ``on``."""
     on = list(on)
-    hot = hot_keys(df, on) if hot is None else hot
-    hot = F.broadcast(hot.select(*on, F.lit(True).alias("__hot")))
-    salt = (
-        F.when(any_null(on), -1 - _spread(salts))
-        .when(F.col("__hot"), _spread(salts))
-        .otherwise(F.lit(0))
-    )
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    left = df.join(hot, on, "left").withColumn("__salt", salt.cast("int")).drop("__hot")
-    right = (
-        lookup.join(hot, on, "left")
-        .withColumn("__salt", F.explode(copies))
-        .drop("__hot")
+    hot = hot_hashes(df, on)
+    is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
+    types = dict(df.dtypes)  # both sides must hash alike
+    typed = lookup.withColumns({k: F.col(k).cast(types[k]) for k in on})
+    return _salted_join(df, typed, on, is_hot, is_hot, salts)
+
+
+def counted_join(
+    df: DataFrame, flagged: DataFrame, counts: DataFrame, on: Sequence[str], salts: int = SALTS
+) -> DataFrame:
+    """Left join ``df`` to ``flagged``, given ``counts`` with the rows ``__n`` of each heavy key.
+
+    Keys that are missing from ``counts`` must be light. Hot keys are known by hash on both
+    sides, so what is broadcast does not grow with the width of the keys.
+    """
+    on = list(on)
+    hot = (
+        counts.filter(F.col("__n") >= HOT_KEY_ROWS)
+        .select(F.xxhash64(*on).alias("__hash"), "__n")
+        .orderBy(F.col("__n").desc(), "__hash")
+        .limit(MAX_HOT_KEYS)
+        .select("__hash", F.lit(True).alias("__hot"))
+        .distinct()
     )
-    return left.join(right, [*on, "__salt"], "left").drop("__salt")
+    hot = F.broadcast(hot)
+    left = df.withColumn("__hash", F.xxhash64(*on)).join(hot, "__hash", "left")
+    right = flagged.withColumn("__hash", F.xxhash64(*on)).join(hot, "__hash", "left")
+    is_hot = F.col("__hot")
+    return _salted_join(left, right.drop("__hash"), on, is_hot, is_hot, salts)
 
 
 def class_join(
@@ -101,8 +128,6 @@ def latest_per_row(
     The ``= 1`` filter sits directly on the window, so each task drops its losers before the
     shuffle and a key with many versions costs one row per task.
     """
-    from pyspark.sql import Window
-
     keys = [key] if isinstance(key, str) else list(key)
     if ties is None:
         hashable = [

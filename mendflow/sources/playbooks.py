@@ -104,7 +104,7 @@ def _mark_repeats(frame: DataFrame, mark: str, keys: list[str]) -> DataFrame:
         .filter("__n > 1")
     )
     repeats = counts.select(*keys, F.lit(True).alias(mark))
-    return lookup.lookup_join(frame, repeats, keys, lookup.heaviest(counts, keys, "__n"))
+    return lookup.counted_join(frame, repeats, counts, keys)
 
 
 def lint_entries(entries_df: DataFrame, columns_df: DataFrame | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from mendflow import schemas as S
 from mendflow.operators import curate, metrics, playbook, reingest
 from mendflow.operators import queue as Q
 from mendflow.plans import dryrun, remediation
+from mendflow.sources import tables
 from mendflow.streaming import validate_stream as VS
 from workloads import fixtures as X
 from workloads.curation_queries import REST, ROUTED, _usable
@@ -118,9 +119,14 @@ tested AS (SELECT *, customer_id IS NOT NULL AND regexp_matches(code, '^[0-9]{5}
   AND status IN ('F', 'O', 'P') AS passed FROM patched)"""
 
 
-def _patched(spark, sf):
+def _repaired(spark, sf):
+    """Playbook results, kept once because several frames are built from them."""
+    return tables.cut_lineage(playbook.apply_playbook(X.latest(spark, sf), _usable()))
+
+
+def _patched(spark, sf, done=None):
     """Playbook repairs applied to the rows they keep."""
-    done = playbook.apply_playbook(X.latest(spark, sf), _usable())
+    done = playbook.apply_playbook(X.latest(spark, sf), _usable()) if done is None else done
     fixed = done.filter(F.col("remediation_action").isin("keep", "patch_fields"))
     columns = S.data_columns(X.frame(spark, sf, "DIRTY"))
     return reingest.apply_patch(fixed.select("row_id", *columns, "action_payload"), "action_payload", columns)
@@ -159,8 +165,8 @@ STAGED = """staged AS (SELECT order_id, customer_id, updated_at, priority, amoun
 
 
 def _staged(spark, sf):
-    rows = reingest.revalidate(_patched(spark, sf), X.CHECKS).drop("order_ts", "status", "code")
-    done = playbook.apply_playbook(X.latest(spark, sf), _usable())
+    done = _repaired(spark, sf)
+    rows = reingest.revalidate(_patched(spark, sf, done), X.CHECKS).drop("order_ts", "status", "code")
     queue = playbook.playbook_updates(done, X.FQN, "run1", X.at(4))
     return reingest.with_lineage(reingest.stage(rows, queue), "run1", X.at(4))
 

@@ -73,7 +73,10 @@ def check_unique(spark, sf):
 @query("""SELECT doc_id, lang, n_chars FROM (
   SELECT *, count(*) OVER (PARTITION BY text) AS n FROM documents) WHERE n > 1""")
 def check_unique_text(spark, sf):
-    bad = _invalid(X.table(spark, sf, "documents"), X.check("text_unique", "is_unique", columns=["text"]))
+    bad = _invalid(
+        X.table(spark, sf, "documents"),
+        X.check("text_unique", "is_unique", columns=["text"], by_digest=True),
+    )
     return bad.select("doc_id", "lang", "n_chars")
 
 
