@@ -63,6 +63,7 @@ def hot_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
     sketches = (
         keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
         .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED_KEYS})").alias("s"))
+        .groupBy(F.col("g") < 0)  # one group; a grouped merge skips partitions without a sketch
         .agg(F.expr(f"approx_top_k_combine(s, {TRACKED_KEYS})").alias("s"))
     )
     top = sketches.selectExpr(f"inline(approx_top_k_estimate(s, {MAX_HOT_KEYS}))")
