@@ -1,8 +1,8 @@
 """The vocabulary of column transforms a fix may use.
 
-Two forms share one table of expressions: ``chain`` builds a plain column from fixes known
-when the plan is built, ``run_steps`` folds over an array of fixes that is itself a column,
-so a table of proposals never has to reach the driver.
+Each transform is one piece of SQL text. The same text serves fixes known when the plan is built
+(``chain``) and an array of fixes that is itself a column (``run_steps``), so a table of
+proposals never has to reach the driver, and a long chain is one expression to parse.
 """
 
 from __future__ import annotations
@@ -38,40 +38,52 @@ INTEGER_PARAMS = {
     "substring": ("pos", "len"),
 }
 
-Param = Callable[[str, object], Column]
 
+def quoted(text: object) -> str:
+    """A SQL string literal."""
+    return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _pad(side: Callable[..., Column]) -> Callable[[Column, Param], Column]:
-    def padded(value: Column, param: Param) -> Column:
-        length = param("length", None).try_cast("int")
-        filled = side(value, length, param("pad", "0"))
-        too_long = (F.length(value) > length) & (F.lower(param("truncate", "false")) != "true")
-        return F.when(too_long, value).otherwise(filled)
+
+def column(name: str) -> str:
+    """A column reference in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+Param = Callable[[str, str | None], str]
+
+
+def _number(text: str) -> str:
+    return f"try_cast({text} AS int)"
+
+
+def _pad(side: str) -> Callable[[str, Param], str]:
+    def padded(v: str, p: Param) -> str:
+        length = _number(p("length", None))
+        keep = f"length({v}) > {length} AND lower({p('truncate', 'false')}) <> 'true'"
+        return f"CASE WHEN {keep} THEN {v} ELSE {side}({v}, {length}, {p('pad', '0')}) END"
 
     return padded
 
 
-_EXPRESSIONS: dict[str, Callable[[Column, Param], Column]] = {
-    "trim": lambda v, p: F.trim(v),
-    "lower": lambda v, p: F.lower(v),
-    "upper": lambda v, p: F.upper(v),
-    "lower_trim": lambda v, p: F.trim(F.lower(v)),
-    "upper_trim": lambda v, p: F.trim(F.upper(v)),
-    "regexp_replace": lambda v, p: F.regexp_replace(v, p("pattern", None), p("replacement", "")),
-    "regexp_extract": lambda v, p: F.call_function(
-        "regexp_extract", v, p("pattern", None), p("group", "0").try_cast("int")
-    ),
-    "to_date": lambda v, p: F.date_format(F.try_to_timestamp(v, p("from_format", None)), "yyyy-MM-dd"),
-    "to_timestamp": lambda v, p: F.date_format(
-        F.try_to_timestamp(v, p("from_format", None)), "yyyy-MM-dd HH:mm:ss"
-    ),
-    "left_pad": _pad(F.lpad),
-    "right_pad": _pad(F.rpad),
-    "substring": lambda v, p: F.substring(
-        v, p("pos", None).try_cast("int"), p("len", "1000000").try_cast("int")
-    ),
-    "set_default": lambda v, p: F.coalesce(v, p("value", None)),
-    "set_null": lambda v, p: F.lit(None).cast("string"),
+def _date(pattern: str) -> Callable[[str, Param], str]:
+    return lambda v, p: f"date_format(try_to_timestamp({v}, {p('from_format', None)}), '{pattern}')"
+
+
+_SQL: dict[str, Callable[[str, Param], str]] = {
+    "trim": lambda v, p: f"trim({v})",
+    "lower": lambda v, p: f"lower({v})",
+    "upper": lambda v, p: f"upper({v})",
+    "lower_trim": lambda v, p: f"trim(lower({v}))",
+    "upper_trim": lambda v, p: f"trim(upper({v}))",
+    "regexp_replace": lambda v, p: f"regexp_replace({v}, {p('pattern', None)}, {p('replacement', '')})",
+    "regexp_extract": lambda v, p: f"regexp_extract({v}, {p('pattern', None)}, {_number(p('group', '0'))})",
+    "to_date": _date("yyyy-MM-dd"),
+    "to_timestamp": _date("yyyy-MM-dd HH:mm:ss"),
+    "left_pad": _pad("lpad"),
+    "right_pad": _pad("rpad"),
+    "substring": lambda v, p: f"substring({v}, {_number(p('pos', None))}, {_number(p('len', '1000000'))})",
+    "set_default": lambda v, p: f"coalesce({v}, {p('value', None)})",
+    "set_null": lambda v, p: "CAST(NULL AS string)",
 }
 
 
@@ -88,22 +100,27 @@ def check_fix(fix: Mapping[str, object]) -> None:
             int(str(fix[p]))
 
 
-def apply_transform(fix: Mapping[str, object], value: Column) -> Column:
-    """One transform over a text column."""
+def _known(fix: Mapping[str, object], value: str) -> str:
     check_fix(fix)
 
-    def param(name: str, default: object) -> Column:
-        return F.lit(str(fix[name])) if fix.get(name) is not None else F.lit(default)
+    def param(name: str, default: str | None) -> str:
+        given = fix.get(name, default)
+        return "CAST(NULL AS string)" if given is None else quoted(given)
 
-    return _EXPRESSIONS[str(fix["transform"]).strip()](value, param)
+    return _SQL[str(fix["transform"]).strip()](value, param)
 
 
-def chain(fixes: Sequence[Mapping[str, object]], value: Column) -> Column:
-    """Several transforms over one text column, in list order."""
-    out = value.cast("string")
+def chain_sql(fixes: Sequence[Mapping[str, object]], value: str) -> str:
+    """SQL text of several transforms over a column, in list order."""
+    out = f"CAST({column(value)} AS string)"
     for fix in fixes:
-        out = apply_transform(fix, out)
-    return out.cast("string")
+        out = _known(fix, out)
+    return out
+
+
+def chain(fixes: Sequence[Mapping[str, object]], value: str) -> Column:
+    """Several transforms over a column as text, in list order."""
+    return F.expr(chain_sql(fixes, value))
 
 
 def build_column_exprs(
@@ -111,35 +128,30 @@ def build_column_exprs(
 ) -> dict[str, Column]:
     """Per target column the chained transforms; unknown columns are ignored."""
     targets = [c for c in dict.fromkeys(f.get("column") for f in fixes) if c in available]
-    return {c: chain([f for f in fixes if f.get("column") == c], F.col(c)) for c in targets}
-
+    return {c: chain([f for f in fixes if f.get("column") == c], c) for c in targets}
 
-def _step(value: Column, fix: Column) -> Column:
-    def param(name: str, default: object) -> Column:
-        return F.coalesce(F.element_at(fix, F.lit(name)), F.lit(default).cast("string"))
 
-    name = F.trim(F.element_at(fix, F.lit("transform")))
-    out = None
-    for transform, build in _EXPRESSIONS.items():
-        branch = build(value, param).cast("string")
-        out = F.when(name == transform, branch) if out is None else out.when(name == transform, branch)
-    return out
+def run_steps(value: str, fixes: str) -> str:
+    """SQL text that folds an ``array<map<string,string>>`` of fixes over a text value."""
 
+    def param(name: str, default: str | None) -> str:
+        given = f"f['{name}']"
+        return given if default is None else f"coalesce({given}, {quoted(default)})"
 
-def run_steps(value: Column, fixes: Column) -> Column:
-    """Fold an ``array<map<string,string>>`` of fixes over a text value."""
-    return F.aggregate(fixes, value.cast("string"), _step)
+    branches = " ".join(f"WHEN '{name}' THEN {build('v', param)}" for name, build in _SQL.items())
+    return f"aggregate({fixes}, CAST({value} AS string), (v, f) -> CASE trim(f['transform']) {branches} END)"
 
 
-def is_bad_fix(fix: Column) -> Column:
-    """True for a fix map whose transform is unknown or lacks a parameter."""
-    name = F.trim(F.element_at(fix, F.lit("transform")))
-    bad = ~F.coalesce(name.isin(list(REQUIRED_PARAMS)), F.lit(False))
+def is_bad_fix(fix: str = "f") -> str:
+    """SQL text: true for a fix map whose transform is unknown or lacks a parameter."""
+    name = f"trim({fix}['transform'])"
+    known = ", ".join(quoted(t) for t in REQUIRED_PARAMS)
+    tests = [f"{name} NOT IN ({known})"]
     for transform, params in REQUIRED_PARAMS.items():
-        for p in params:
-            bad = bad | ((name == transform) & F.element_at(fix, F.lit(p)).isNull())
+        tests += [f"({name} = '{transform}' AND {fix}['{p}'] IS NULL)" for p in params]
     for transform, params in INTEGER_PARAMS.items():
-        for p in params:
-            text = F.element_at(fix, F.lit(p))
-            bad = bad | ((name == transform) & text.isNotNull() & text.try_cast("int").isNull())
-    return F.coalesce(bad, F.lit(True))
+        tests += [
+            f"({name} = '{transform}' AND {fix}['{p}'] IS NOT NULL AND {_number(f'{fix}[{quoted(p)}]')} IS NULL)"
+            for p in params
+        ]
+    return f"coalesce({' OR '.join(tests)}, true)"

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
+from mendflow.functions.transforms import quoted
 from mendflow.operators import lookup
 
 # Preset formats for the value-format check.
@@ -235,11 +236,10 @@ def _fails(check: Check, hidden: str) -> Column:
 def _entry(check: Check) -> Column:
     columns = check.columns
     message = f"{check.function} failed for {', '.join(columns) or check.name}"
-    return F.struct(
-        F.lit(check.name).alias("name"),
-        F.lit(message).alias("message"),
-        F.lit(check.function).alias("function"),
-        F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("columns"),
+    listed = f"array({', '.join(quoted(c) for c in columns)})" if columns else "CAST(array() AS array<string>)"
+    return F.expr(
+        f"named_struct('name', {quoted(check.name)}, 'message', {quoted(message)}, "
+        f"'function', {quoted(check.function)}, 'columns', {listed})"
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions.identity import signature
-from mendflow.functions.transforms import chain, is_bad_fix, run_steps
+from mendflow.functions.transforms import chain, column, is_bad_fix, quoted, run_steps
 from mendflow.operators.checks import VALUE_CHECKS, Check, parse_checks, value_fails
 from mendflow.operators.lookup import class_join
 
@@ -60,8 +60,8 @@ def signature_profiles(df: DataFrame, sample_size: int = S.SAMPLE_SIZE) -> DataF
 
 def _values(columns: Sequence[str]) -> Column:
     """Data columns as a map from name to text."""
-    pairs = [p for c in columns for p in (F.lit(c), F.col(c).cast("string"))]
-    return F.create_map(*pairs).cast("map<string,string>")
+    pairs = ", ".join(f"{quoted(c)}, CAST({column(c)} AS string)" for c in columns)
+    return F.expr(f"map({pairs})")
 
 
 def _samples(flagged: DataFrame, columns: Sequence[str], sample_size: int) -> DataFrame:
@@ -161,7 +161,7 @@ def transform_scores(
         mine = F.array_contains("rule_violations", check.name)
         aggs.append(F.count_if(mine).alias(f"__n{i}"))
         for k, steps in enumerate(candidates):
-            fixed = chain(steps, F.col(check.columns[0])).try_cast(types[check.columns[0]])
+            fixed = chain(steps, check.columns[0]).try_cast(types[check.columns[0]])
             passes = fixed.isNotNull() & ~value_fails(check, fixed)
             aggs.append(F.count_if(mine & passes).alias(f"__p{i}_{k}"))
             rows.append(
@@ -238,7 +238,7 @@ def search_transforms(
 
 def checked_proposals(proposals: DataFrame) -> DataFrame:
     """Proposals with bad transforms or empty fixes turned into escalations."""
-    bad = F.exists("fixes", is_bad_fix)
+    bad = F.expr(f"exists(fixes, f -> {is_bad_fix('f')})")
     empty = F.coalesce(F.size("fixes") == 0, F.lit(True))
     is_fix = F.col("decision") == "fix"
     decision = (
@@ -278,26 +278,19 @@ def apply_proposals(
         "__cols", F.array_intersect(named, F.col("__targets"))
     )
 
-    def steps(column: Column) -> Column:
-        return F.filter("fixes", lambda f: F.element_at(f, "column") == column)
-
-    def fixed(column: Column) -> Column:
-        mine = steps(column)
-        last = F.trim(F.element_at(F.element_at(mine, -1), "transform"))
-        return F.struct(
-            column.alias("column"),
-            run_steps(F.element_at("__values", column), mine).alias("value"),
-            (last == "set_null").alias("nulled"),
-        )
-
+    mine = "filter(fixes, f -> f['column'] = c)"
+    fixed = (
+        f"named_struct('column', c, 'value', {run_steps('__values[c]', mine)}, "
+        f"'nulled', trim(element_at({mine}, -1)['transform']) = 'set_null')"
+    )
     is_fix = F.col("decision") == "fix"
     outcome = joined.withColumn(
-        "__out", F.when(is_fix & (F.size("__cols") > 0), F.transform("__cols", fixed))
-    )
-    moved = F.exists(
-        "__out", lambda o: ~o["value"].eqNullSafe(F.element_at("__values", o["column"]))
+        "__out",
+        F.expr(f"CASE WHEN decision = 'fix' AND size(__cols) > 0 THEN transform(__cols, c -> {fixed}) END"),
+    ).withColumn(
+        "__moved",
+        F.expr("coalesce(exists(__out, o -> NOT (o.value <=> __values[o.column])), false)"),
     )
-    outcome = outcome.withColumn("__moved", F.coalesce(moved, F.lit(False)))
     per_signature = outcome.groupBy("signature").agg(
         F.bool_or("__moved").alias("__any_moved"),
         F.bool_or(F.col("__out").isNotNull()).alias("__usable"),
@@ -308,7 +301,7 @@ def apply_proposals(
         "proposed transform was a no-op (before == after): "
     )
     # A transform that ends in null only counts when null was asked for.
-    kept = F.filter("__out", lambda o: o["value"].isNotNull() | o["nulled"])
+    kept = F.expr("filter(__out, o -> o.value IS NOT NULL OR o.nulled)")
     fix = F.map_from_entries(F.transform(kept, lambda o: F.struct(o["column"], o["value"])))
     missing = F.col("decision").isNull()
     return judged.select(

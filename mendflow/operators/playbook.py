@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
-from mendflow.functions.transforms import apply_transform
+from mendflow.functions.transforms import chain
 from mendflow.sources.playbooks import PLACEHOLDER, STANDARD_TRANSFORMS, STRATEGY_PARAMS, by_priority
 
 PAYLOAD = "map<string,string>"
@@ -61,7 +61,7 @@ def _standardize(params: Mapping) -> tuple[Column, Column]:
     if params["transform"] not in STANDARD_TRANSFORMS:
         raise ValueError(f"Unknown transform {params['transform']!r} for standardize_value")
     column = params["column"]
-    fixed = apply_transform({"transform": params["transform"]}, F.col(column))
+    fixed = chain([{"transform": params["transform"]}], column)
     return F.lit("patch_fields"), _payload(column, fixed)
 
 

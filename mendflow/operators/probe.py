@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
-from mendflow.functions.transforms import apply_transform
+from mendflow.functions.transforms import chain
 from mendflow.sources.playbooks import STANDARD_TRANSFORMS
 
 
@@ -45,7 +45,7 @@ def probe_scores(
     used = [n for n in normalizations if n in STANDARD_TRANSFORMS]
 
     def agrees(name: str):
-        left, right = (apply_transform({"transform": name}, F.col(c)) for c in ("__left", "__right"))
+        left, right = (chain([{"transform": name}], c) for c in ("__left", "__right"))
         return F.count_if(left.eqNullSafe(right)).alias(f"__n_{name}")
 
     totals = (

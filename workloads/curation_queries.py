@@ -216,7 +216,7 @@ def playbook_queue_update(spark, sf):
 
 def _tx(df, column, **steps):
     """One output column per named transform chain."""
-    return {name: transforms.chain(s if isinstance(s, list) else [s], F.col(column)) for name, s in steps.items()}
+    return {name: transforms.chain(s if isinstance(s, list) else [s], column) for name, s in steps.items()}
 
 
 @query(f"""WITH dirty AS ({X.sql('DIRTY')}) SELECT order_id, trim(priority) AS t_trim, lower(priority) AS t_lower,
@@ -293,7 +293,7 @@ def tx_null_and_chain(spark, sf):
         {"column": "customer_id", "transform": "set_default", "value": "none"},
     ]
     made = transforms.build_column_exprs(fixes, df.columns)
-    emptied = transforms.chain([{"transform": "set_null"}], F.col("status"))
+    emptied = transforms.chain([{"transform": "set_null"}], "status")
     return df.select(
         "order_id", made["customer_id"].alias("filled"), emptied.alias("emptied"), made["code"].alias("chained")
     )

@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mendflow.operators import queue as Q
 from mendflow.operators import validate as V
@@ -41,8 +42,15 @@ def _fill(sql: str, dialect: str) -> str:
     )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A table of the driver; its schema is looked up once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
