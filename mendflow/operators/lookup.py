@@ -10,6 +10,8 @@ too. Results stay exact whichever keys are found to be heavy.
   most ``MAX_HOT_KEYS`` hash values.
 * ``counted_join`` is for checks that count their keys anyway: the heaviest counted keys are
   broadcast as hash values, bounded by the same limit, without an extra job.
+* ``hint_if_small`` measures a frame and broadcasts it only when it is under
+  ``MAX_BROADCAST_BYTES``; beyond that the joins above shuffle.
 * ``class_join`` is for lookups with one row per failure class (few rows, huge groups): every
   lookup row is repeated ``SALTS`` times.
 
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 256
 HOT_KEY_ROWS = 100_000
 SALTS = 256
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Sketch size: keys above about 0.1 % of the rows are found.
 TRACKED_KEYS = 4096
@@ -70,11 +73,45 @@ def hot_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
     return [r["item"] for r in top.filter(F.col("count") >= HOT_KEY_ROWS).collect()]
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether all rows together are under ``MAX_BROADCAST_BYTES``; runs one aggregation."""
+    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
+    row = reduce(lambda a, b: a + b, widths, F.lit(16 * len(widths))).cast("bigint")
+    return (df.agg(F.sum(row)).head()[0] or 0) <= MAX_BROADCAST_BYTES
+
+
+def hint_if_small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint when it is measured to be small, else as it is."""
+    return F.broadcast(df) if is_small(df) else df
+
+
+def matching_keys(target: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Distinct keys of ``target`` that also occur in ``rows``.
+
+    A few rows are sent to the target's tasks, so its keys are not shuffled; many rows meet the
+    target's distinct keys.
+    """
+    on = list(on)
+    wanted = rows.select(*on).distinct()
+    if is_small(wanted):
+        return target.select(*on).join(F.broadcast(wanted), on, "left_semi").distinct()
+    return target.select(*on).distinct().join(wanted, on, "left_semi")
+
+
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: Sequence[str], salts: int = SALTS
+    df: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    salts: int = SALTS,
+    measure: bool = False,
 ) -> DataFrame:
-    """Left join ``df`` to a lookup that is unique on ``on``."""
+    """Left join ``df`` to a lookup that is unique on ``on``.
+
+    With ``measure`` a lookup that proves small is broadcast and ``df`` is not shuffled at all.
+    """
     on = list(on)
+    if measure and is_small(lookup):
+        return df.join(F.broadcast(lookup), on, "left")
     hot = hot_hashes(df, on)
     is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
     types = dict(df.dtypes)  # both sides must hash alike

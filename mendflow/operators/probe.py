@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions.transforms import chain
+from mendflow.operators.lookup import hint_if_small
 from mendflow.sources.playbooks import STANDARD_TRANSFORMS
 
 
@@ -38,7 +39,7 @@ def probe_scores(
     wanted = sample.select(*keys).distinct()
     partner = (
         other.select(*named, value.alias("__right"))
-        .join(wanted, keys, "left_semi")
+        .join(hint_if_small(wanted), keys, "left_semi")
         .groupBy(*keys)
         .agg(F.min("__right").alias("__right"))
     )

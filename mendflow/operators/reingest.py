@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.operators.checks import Check, Evaluated, parse_checks
-from mendflow.operators.lookup import any_null, lookup_join
+from mendflow.operators.lookup import any_null, hint_if_small, lookup_join, matching_keys
 
 
 def reingest_target(quarantine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -86,7 +86,8 @@ def revalidate(
     )
     union = rows
     if against is not None:
-        kept = against.join(rows.select(*keys).distinct(), list(keys), "left_anti")
+        replaced = hint_if_small(rows.select(*keys).distinct())
+        kept = against.join(replaced, list(keys), "left_anti")
         for check in parsed:
             if check.function == "is_unique":
                 union = union.unionByName(_colliding(kept, rows, check))
@@ -108,7 +109,9 @@ def _colliding(target: DataFrame, rows: DataFrame, check: Check) -> DataFrame:
     def value(c: str) -> Column:
         return F.lower(c) if c in folded else F.col(c)
 
-    wanted = rows.select(*[value(c).alias(f"__w_{c}") for c in check.columns]).distinct()
+    wanted = hint_if_small(
+        rows.select(*[value(c).alias(f"__w_{c}") for c in check.columns]).distinct()
+    )
     pairs = [
         value(c).eqNullSafe(F.col(f"__w_{c}")) if same_nulls else value(c) == F.col(f"__w_{c}")
         for c in check.columns
@@ -167,7 +170,7 @@ def null_key_rows(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def merge_split(staged: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Staged rows with ``merge_action`` ``insert`` or ``update``."""
-    known = target.select(*keys).distinct().withColumn("__known", F.lit(True))
+    known = matching_keys(target, staged, keys).withColumn("__known", F.lit(True))
     return (
         staged.join(known, list(keys), "left")
         .withColumn("merge_action", F.when(F.col("__known"), "update").otherwise("insert"))
@@ -198,7 +201,7 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> D
             *keys, *[F.col(c).alias(f"__new_{c}") for c in values], F.lit(True).alias("__hit")
         )
         types = dict(target.dtypes)
-        kept = lookup_join(target, renamed, keys).select(
+        kept = lookup_join(target, renamed, keys, measure=True).select(
             *[
                 F.when(F.col("__hit"), F.col(f"__new_{c}").cast(types[c])).otherwise(F.col(c)).alias(c)
                 if c in values
@@ -206,7 +209,7 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> D
                 for c in target.columns
             ]
         )
-    added = source.join(target.select(*keys).distinct(), keys, "left_anti")
+    added = source.join(matching_keys(target, source, keys), keys, "left_anti")
     aligned = added.select(
         *[
             (F.col(f.name) if f.name in common else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -24,9 +24,10 @@ Proposer = Callable[[DataFrame], DataFrame]
 
 @dataclass
 class Pass:
-    """Results of one pass; all lazy."""
+    """Results of one pass; all lazy. ``queue`` holds the rows of the processed table."""
 
     queue: DataFrame
+    other_queues: DataFrame
     staged: DataFrame
     silver: DataFrame
     merge_split: DataFrame
@@ -96,16 +97,17 @@ def remediate(
     run takes them up again.
     """
     propose = propose or (lambda rows: curate.search_transforms(rows, checks))
+    others = Q.reset_queue(queue, quarantine_fqn)
+    queue = queue.filter(F.col("quarantine_fqn") == quarantine_fqn)
     latest = cut(Q.latest_quarantined(quarantine))
     queued, decisions = curated_queue(
         latest, queue, quarantine_fqn, run_id, entries, propose, threshold, requeue, as_of
     )
     queued = cut(queued)
 
-    mine = queued.filter(F.col("quarantine_fqn") == quarantine_fqn)
-    ready = Q.actionable(mine, threshold, max_retries)
+    ready = Q.actionable(queued, threshold, max_retries)
     if gate == "table":
-        opened = curate.confidence_gate(mine, threshold, "table").select("row_id")
+        opened = curate.confidence_gate(queued, threshold, "table").select("row_id")
         waiting = ready.filter(F.col("status") != S.CURATED)
         ready = waiting.unionByName(
             ready.filter(F.col("status") == S.CURATED).join(opened, "row_id", "left_semi")
@@ -153,6 +155,7 @@ def remediate(
         final = Q.escalate_exhausted(final, max_retries, run_id, as_of)
     return Pass(
         queue=final,
+        other_queues=others,
         staged=staged,
         silver=after,
         merge_split=split,
@@ -205,7 +208,7 @@ def remediate_table(
         else:
             tables.replace(done.silver, silver_fqn)
     tables.replace(done.staged.drop("row_id"), quarantine_fqn + S.STAGED_SUFFIX)
-    tables.replace(final, queue_fqn)
+    tables.replace_slice(final, queue_fqn, "quarantine_fqn", quarantine_fqn)
     if audit_fqn:
         tables.append(metrics.audit_row(final, run_id), audit_fqn)
     if metrics_fqn:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
+from mendflow.functions.transforms import quoted
 
 
 def table_name(spark: SparkSession, fqn: str) -> str:
@@ -113,6 +114,29 @@ def replace(df: DataFrame, fqn: str) -> None:
     spark.catalog.createTable(name.replace("`", ""), path=folder, source="parquet")
 
 
+def replace_slice(df: DataFrame, fqn: str, column: str, value: str) -> None:
+    """Replace the rows with ``column = value`` of a table partitioned by that column.
+
+    The slice is written to a new folder and the partition is pointed at it, so other slices are
+    not touched. ``df`` must not read the table's slice after this call.
+    """
+    spark = df.sparkSession
+    name = table_name(spark, fqn)
+    folder = _new_folder(spark, fqn)
+    df.drop(column).write.parquet(folder)
+    if not exists(spark, fqn):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+        spark.sql(
+            f"CREATE TABLE {name} ({fields}) USING parquet PARTITIONED BY (`{column}`) "
+            f"LOCATION '{_new_folder(spark, fqn)}'"
+        )
+    part = f"PARTITION (`{column}` = {quoted(value)})"
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {part} LOCATION '{folder}'")
+    spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name.replace("`", ""))
+
+
 def supports_merge(spark: SparkSession, fqn: str) -> bool:
     """True when the table's format executes ``MERGE INTO`` itself."""
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(spark, fqn)}")
@@ -120,17 +144,21 @@ def supports_merge(spark: SparkSession, fqn: str) -> bool:
     return provider is not None and provider[0].lower() in ("delta", "iceberg", "hudi")
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder all executors reach: under ``spark.checkpoint.dir``, else the warehouse.
+
+    Only local mode without either setting uses a temporary folder of the machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and spark.sparkContext.master.startswith("local"):
+        return tempfile.mkdtemp(prefix="mendflow-")
+    return f"{(shared or _root(spark)).rstrip('/')}/mendflow-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder the cluster names; survives lost executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-            "spark.checkpoint.dir"
-        )
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="mendflow-checkpoint-")
-        context.setCheckpointDir(folder)
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or scratch_folder(df.sparkSession))
     return df.checkpoint()

@@ -274,7 +274,7 @@ def test_statuses_follow_the_allowed_moves(spark):
     } | {("revalidated_pass", "reingested"), ("pending", "reingested"), ("pending", "revalidated_fail")}
     shop = setup_shop(spark, "moves")
     old = Q.triage(tables.read(spark, shop[1]), spark.createDataFrame([], S.QUEUE_DDL), shop[1], "run0")
-    tables.replace(old, shop[2])
+    tables.replace_slice(old, shop[2], "quarantine_fqn", shop[1])
     for i in range(3):
         before = tables.read(spark, shop[2])
         run(spark, shop, f"run{i}", propose=given(FIX_CODE), max_retries=2)

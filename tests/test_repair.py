@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions import transforms as T
-from mendflow.operators import curate, playbook, probe, reingest
+from mendflow.operators import curate, lookup, playbook, probe, reingest
 from mendflow.operators import queue as Q
 from tests.conftest import rows
 
@@ -350,7 +350,14 @@ def test_patch_casts_and_keeps_the_rest(spark):
         ("a", 7, "x", False), ("b", 2, "y", True), ("c", 3, None, False), ("d", 4, "w", False)]
 
 
-def test_revalidation_against_the_target(spark):
+@pytest.fixture(params=["broadcast", "shuffle"])
+def either_way(request, monkeypatch):
+    """Both ways of joining staged rows with the target."""
+    if request.param == "shuffle":
+        monkeypatch.setattr(lookup, "MAX_BROADCAST_BYTES", -1)
+
+
+def test_revalidation_against_the_target(spark, either_way):
     ddl = "row_id string, id int, k string"
     cand = spark.createDataFrame([("a", 1, "x"), ("b", 2, "y"), ("c", 3, "z"), ("d", 4, None)], ddl)
     target = spark.createDataFrame([(9, "X"), (2, "y"), (8, "q"), (7, None)], "id int, k string")
@@ -368,7 +375,7 @@ def test_failed_casts_do_not_pass(spark):
     assert reingest.revalidate(reingest.apply_patch(df), []).head()["passed"] is False
 
 
-def test_merge(spark):
+def test_merge(spark, either_way):
     target = spark.createDataFrame([(1, "a", "keep"), (2, "b", "keep"), (None, "n", "keep")], "id int, v string, extra string")
     staged = spark.createDataFrame([(1, "A", 5), (3, "C", 5), (None, "N", 5)], "id int, v string, other int")
     aligned, dropped = reingest.align_to_target(staged, target, ["id"])

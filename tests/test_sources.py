@@ -240,6 +240,17 @@ def test_replace_may_read_its_own_table(spark):
     assert not tables.supports_merge(spark, fqn)
 
 
+def test_slices_are_replaced_on_their_own(spark):
+    fqn = "main.gov.sliced"
+    for name, n in (("a.b", 2), ("it's", 3), ("a.b", 1)):
+        df = spark.range(n).withColumn("q", F.lit(name))
+        tables.replace_slice(df, fqn, "q", name)
+    got = tables.read(spark, fqn)
+    assert rows(got, "id", "q") == sorted([(0, "a.b"), (0, "it's"), (1, "it's"), (2, "it's")], key=str)
+    plan = got.filter("q = 'a.b'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(q" in plan
+
+
 def test_discovery_skips_staged_tables(spark):
     one = spark.createDataFrame([(1,)], "id int")
     for name in ("silver_a", "silver_b", "silver_a" + S.STAGED_SUFFIX, "bronze_c"):

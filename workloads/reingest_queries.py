@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
@@ -354,7 +352,7 @@ WHERE NOT ({' OR '.join(X.ERRORS)})
 UNION ALL SELECT 'invalid', order_id, {X.failed_names(X.ERRORS)}, {X.failed_names(X.WARNINGS)}
 FROM flags WHERE {' OR '.join(X.ERRORS + X.WARNINGS)}""")
 def stream_validate(spark, sf):
-    folder = tempfile.mkdtemp(prefix="mendflow-stream-")
+    folder = tables.scratch_folder(spark)
     schema = X.table(spark, sf, "orders").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet").parquet(sf)
     stream.createOrReplaceTempView("orders")
