@@ -8,6 +8,8 @@ proposals never has to reach the driver, and a long chain is one expression to p
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -44,6 +46,23 @@ def quoted(text: object) -> str:
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def literal(value: object) -> str:
+    """A Python value as SQL text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, float):
+        return f"CAST({quoted(repr(value))} AS double)"
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP {quoted(value.isoformat(sep=' '))}"
+    if isinstance(value, date):
+        return f"DATE {quoted(value.isoformat())}"
+    return quoted(value)
+
+
 def column(name: str) -> str:
     """A column reference in SQL text."""
     return "`" + name.replace("`", "``") + "`"

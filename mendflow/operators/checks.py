@@ -12,13 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
-from mendflow.functions.transforms import quoted
+from mendflow.functions.transforms import column, literal, quoted
 from mendflow.operators import lookup
 
 # Preset formats for the value-format check.
@@ -78,39 +77,38 @@ def parse_checks(raws: Sequence[Mapping | Check]) -> list[Check]:
     return [parse_check(r) for r in flat]
 
 
-# --- row checks: value column and arguments -> "this value fails" -----------------------------
+# --- row checks: SQL text of a value and arguments -> SQL text of "this value fails" ----------
 
-def _range(value: Column, args: Mapping) -> Column:
-    fails = F.lit(False)
+def _range(v: str, args: Mapping) -> str:
+    low, high = ("<=", ">=") if args.get("exclusive") else ("<", ">")
+    tests = []
     if args.get("min") is not None:
-        low = F.lit(args["min"])
-        fails = fails | (value <= low if args.get("exclusive") else value < low)
+        tests.append(f"{v} {low} {literal(args['min'])}")
     if args.get("max") is not None:
-        high = F.lit(args["max"])
-        fails = fails | (value >= high if args.get("exclusive") else value > high)
-    return fails
+        tests.append(f"{v} {high} {literal(args['max'])}")
+    return " OR ".join(tests) or "false"
 
 
-def _in_list(value: Column, args: Mapping) -> Column:
+def _in_list(v: str, args: Mapping) -> str:
     if args.get("case_sensitive", True):
-        return ~value.isin(list(args["allowed"]))
-    return ~F.lower(value).isin([str(a).lower() for a in args["allowed"]])
+        return f"{v} NOT IN ({', '.join(literal(a) for a in args['allowed'])})"
+    return f"lower({v}) NOT IN ({', '.join(quoted(str(a).lower()) for a in args['allowed'])})"
 
 
-VALUE_CHECKS: dict[str, Callable[[Column, Mapping], Column]] = {
-    "is_not_null": lambda v, a: v.isNull(),
-    "is_not_null_and_not_empty": lambda v, a: v.isNull() | (F.trim(v.cast("string")) == ""),
-    "is_not_empty": lambda v, a: F.trim(v.cast("string")) == "",
-    "matches_regex": lambda v, a: ~v.cast("string").rlike(a["pattern"]),
-    "has_format": lambda v, a: ~v.cast("string").rlike(FORMATS[a["format"]]),
+VALUE_CHECKS: dict[str, Callable[[str, Mapping], str]] = {
+    "is_not_null": lambda v, a: f"{v} IS NULL",
+    "is_not_null_and_not_empty": lambda v, a: f"{v} IS NULL OR trim(CAST({v} AS string)) = ''",
+    "is_not_empty": lambda v, a: f"trim(CAST({v} AS string)) = ''",
+    "matches_regex": lambda v, a: f"NOT CAST({v} AS string) RLIKE {quoted(a['pattern'])}",
+    "has_format": lambda v, a: f"NOT CAST({v} AS string) RLIKE {quoted(FORMATS[a['format']])}",
     "is_in_list": _in_list,
     "is_in_range": _range,
 }
 
 
-def value_fails(check: Check, value: Column) -> Column:
-    """The predicate of a value check over any expression, never null."""
-    return F.coalesce(VALUE_CHECKS[check.function](value, check.arguments), F.lit(False))
+def value_fails(check: Check, value: str) -> str:
+    """The predicate of a value check over any SQL expression, never null."""
+    return f"coalesce({VALUE_CHECKS[check.function](value, check.arguments)}, false)"
 
 
 # --- dataset checks: frame -> frame with one hidden boolean ------------------------------------
@@ -191,12 +189,12 @@ def _sql_query(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFram
     Rows without a partner do not fail.
     """
     args = check.arguments
-    column = args["compare_column"]
+    compared = args["compare_column"]
     keys = [f"{hidden}_k{i}" for i in range(len(args["join_keys"]))]
     named = [F.col(k).cast("string").alias(key) for key, k in zip(keys, args["join_keys"])]
     other = (
         _ref(refs, args["other_table"])
-        .select(*named, F.col(column).cast("string").alias("__value"))
+        .select(*named, F.col(compared).cast("string").alias("__value"))
         .filter(~lookup.any_null(keys))
         .groupBy(*keys)
         .agg(F.min("__value").alias("__value"), F.lit(True).alias("__partner"))
@@ -204,7 +202,7 @@ def _sql_query(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFram
     keyed = df.withColumns(
         {key: F.col(k).cast("string") for key, k in zip(keys, args["join_keys"])}
     )
-    differs = F.col("__partner") & ~F.col(column).cast("string").eqNullSafe(F.col("__value"))
+    differs = F.col("__partner") & ~F.col(compared).cast("string").eqNullSafe(F.col("__value"))
     return (
         lookup.lookup_join(keyed, other, keys)
         .withColumn(hidden, F.coalesce(differs, F.lit(False)))
@@ -223,21 +221,21 @@ FUNCTIONS = (*VALUE_CHECKS, "sql_expression", *DATASET_CHECKS)
 
 # --- evaluation ---------------------------------------------------------------------------------
 
-def _fails(check: Check, hidden: str) -> Column:
+def _fails(check: Check, hidden: str) -> str:
     if check.function in DATASET_CHECKS:
-        return F.col(hidden)
+        return column(hidden)
     if check.function == "sql_expression":
-        return F.coalesce(~F.expr(check.arguments["expression"]), F.lit(False))
+        return f"coalesce(NOT ({check.arguments['expression']}), false)"
     if check.function not in VALUE_CHECKS:
         raise ValueError(f"unknown check function {check.function!r}; known: {FUNCTIONS}")
-    return value_fails(check, F.col(check.columns[0]))
+    return value_fails(check, column(check.columns[0]))
 
 
-def _entry(check: Check) -> Column:
+def _entry(check: Check) -> str:
     columns = check.columns
     message = f"{check.function} failed for {', '.join(columns) or check.name}"
     listed = f"array({', '.join(quoted(c) for c in columns)})" if columns else "CAST(array() AS array<string>)"
-    return F.expr(
+    return (
         f"named_struct('name', {quoted(check.name)}, 'message', {quoted(message)}, "
         f"'function', {quoted(check.function)}, 'columns', {listed})"
     )
@@ -260,23 +258,25 @@ class Evaluated:
         if len(set(names)) < len(names):
             raise ValueError(f"check names must be unique: {sorted(names)}")
         self.frame = df
-        self._failing: list[tuple[Check, Column]] = []
+        self._failing: list[tuple[Check, str]] = []
         for i, check in enumerate(self.checks):
             hidden = f"__c{i}"
             if check.function in DATASET_CHECKS:
                 self.frame = DATASET_CHECKS[check.function](self.frame, check, hidden, refs or {})
             self._failing.append((check, _fails(check, hidden)))
 
+    def _any(self, *levels: str) -> str:
+        return " OR ".join(f for c, f in self._failing if c.criticality in levels) or "false"
+
     def any_failing(self, *levels: str) -> Column:
-        picked = [f for c, f in self._failing if c.criticality in levels]
-        return reduce(lambda a, b: a | b, picked, F.lit(False))
+        return F.expr(self._any(*levels))
 
     def results(self, level: str) -> Column:
-        picked = [(c, f) for c, f in self._failing if c.criticality == level]
+        picked = [f"CASE WHEN {f} THEN {_entry(c)} END" for c, f in self._failing if c.criticality == level]
         if not picked:
             return F.lit(None).cast(S.RESULT_DDL)
-        found = F.array_compact(F.array(*[F.when(f, _entry(c)) for c, f in picked]))
-        return F.when(self.any_failing(level), found).cast(S.RESULT_DDL)
+        found = f"array_compact(array({', '.join(picked)}))"
+        return F.expr(f"CAST(CASE WHEN {self._any(level)} THEN {found} END AS {S.RESULT_DDL})")
 
     def _with_results(self, frame: DataFrame) -> DataFrame:
         return frame.select(

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions.identity import signature
-from mendflow.functions.transforms import chain, column, is_bad_fix, quoted, run_steps
+from mendflow.functions.transforms import chain_sql, column, is_bad_fix, quoted, run_steps
 from mendflow.operators.checks import VALUE_CHECKS, Check, parse_checks, value_fails
 from mendflow.operators.lookup import class_join
 
@@ -158,25 +158,21 @@ def transform_scores(
     types = dict(df.dtypes)
     aggs, rows = [], []
     for i, check in enumerate(tried):
-        mine = F.array_contains("rule_violations", check.name)
-        aggs.append(F.count_if(mine).alias(f"__n{i}"))
+        mine = f"array_contains(rule_violations, {quoted(check.name)})"
+        aggs.append(F.expr(f"count_if({mine})").alias(f"__n{i}"))
         for k, steps in enumerate(candidates):
-            fixed = chain(steps, check.columns[0]).try_cast(types[check.columns[0]])
-            passes = fixed.isNotNull() & ~value_fails(check, fixed)
-            aggs.append(F.count_if(mine & passes).alias(f"__p{i}_{k}"))
+            target = check.columns[0]
+            fixed = f"try_cast({chain_sql(steps, target)} AS {types[target]})"
+            passes = f"{fixed} IS NOT NULL AND NOT {value_fails(check, fixed)}"
+            aggs.append(F.expr(f"count_if({mine} AND {passes})").alias(f"__p{i}_{k}"))
             rows.append(
-                F.struct(
-                    F.lit(check.name).alias("rule"),
-                    F.lit(check.columns[0]).alias("column"),
-                    F.col(f"__n{i}").alias("n_rows"),
-                    F.lit(k).alias("candidate"),
-                    F.try_divide(F.col(f"__p{i}_{k}"), F.col(f"__n{i}")).alias("share"),
-                )
+                f"named_struct('rule', {quoted(check.name)}, 'column', {quoted(target)}, 'n_rows', __n{i}, "
+                f"'candidate', {k}, 'share', try_divide(__p{i}_{k}, __n{i}))"
             )
     return (
         df.groupBy("signature")
         .agg(*aggs)
-        .select("signature", F.inline(F.array(*rows)))
+        .select("signature", F.expr(f"inline(array({', '.join(rows)}))"))
         .filter("n_rows > 0")
     )
 

@@ -1,7 +1,7 @@
 """One remediation pass over one quarantine table, from triage to the merged clean table.
 
 Every step returns lazy DataFrames; nothing but the playbook entries and the checks of the
-table is held by the driver. Three results are written to the checkpoint folder because several
+table is held by the driver. Three results are written to the scratch folder because several
 outputs read them: the newest quarantined rows, the queue after curation, and the re-validated
 rows.
 """

@@ -156,9 +156,12 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the cluster names; survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or scratch_folder(df.sparkSession))
-    return df.checkpoint()
+    """The rows written once to the shared scratch folder and read back from there.
+
+    The files survive lost executors. Unlike a row checkpoint, later steps read only the columns
+    they use and the optimizer knows the size.
+    """
+    spark = df.sparkSession
+    folder = scratch_folder(spark)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -15,7 +15,8 @@ def spark():
     folder = tempfile.mkdtemp(prefix="mendflow-tests-")
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", f"{folder}/checkpoint")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .config("spark.ui.enabled", "false")
@@ -24,7 +25,6 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(f"{folder}/checkpoint")
     yield session
     session.stop()
 

@@ -267,4 +267,6 @@ def test_path_reads_merge_schemas(spark, tmp_path):
 
 
 def test_checkpoint_folder_comes_from_the_session(spark):
-    assert tables.cut_lineage(spark.range(3)).count() == 3
+    cut = tables.cut_lineage(spark.range(3))
+    assert cut.count() == 3
+    assert cut.inputFiles()[0].removeprefix("file://").startswith(spark.conf.get("spark.checkpoint.dir"))
