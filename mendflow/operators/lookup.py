@@ -10,8 +10,8 @@ too. Results stay exact whichever keys are found to be heavy.
   most ``MAX_HOT_KEYS`` hash values.
 * ``counted_join`` is for checks that count their keys anyway: the heaviest counted keys are
   broadcast as hash values, bounded by the same limit, without an extra job.
-* ``hint_if_small`` measures a frame and broadcasts it only when it is under
-  ``MAX_BROADCAST_BYTES``; beyond that the joins above shuffle.
+* ``is_small`` measures a frame with one aggregation. Only a frame under
+  ``MAX_BROADCAST_BYTES`` gets a broadcast hint; beyond that the join shuffles.
 * ``class_join`` is for lookups with one row per failure class (few rows, huge groups): every
   lookup row is repeated ``SALTS`` times.
 
@@ -80,9 +80,10 @@ def is_small(df: DataFrame) -> bool:
     return (df.agg(F.sum(row)).head()[0] or 0) <= MAX_BROADCAST_BYTES
 
 
-def hint_if_small(df: DataFrame) -> DataFrame:
-    """``df`` with a broadcast hint when it is measured to be small, else as it is."""
-    return F.broadcast(df) if is_small(df) else df
+def distinct_hinted(df: DataFrame, small: bool | None = None) -> DataFrame:
+    """Distinct rows, with a broadcast hint when ``df`` is measured to be small."""
+    small = is_small(df) if small is None else small
+    return F.broadcast(df.distinct()) if small else df.distinct()
 
 
 def matching_keys(target: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -92,10 +93,10 @@ def matching_keys(target: DataFrame, rows: DataFrame, on: Sequence[str]) -> Data
     target's distinct keys.
     """
     on = list(on)
-    wanted = rows.select(*on).distinct()
+    wanted = rows.select(*on)
     if is_small(wanted):
-        return target.select(*on).join(F.broadcast(wanted), on, "left_semi").distinct()
-    return target.select(*on).distinct().join(wanted, on, "left_semi")
+        return target.select(*on).join(distinct_hinted(wanted, True), on, "left_semi").distinct()
+    return target.select(*on).distinct().join(wanted.distinct(), on, "left_semi")
 
 
 def lookup_join(

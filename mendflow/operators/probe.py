@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions.transforms import chain
-from mendflow.operators.lookup import hint_if_small
+from mendflow.operators.lookup import distinct_hinted
 from mendflow.sources.playbooks import STANDARD_TRANSFORMS
 
 
@@ -36,10 +36,10 @@ def probe_scores(
         .filter(F.col("__rn") <= sample_rows)
         .drop("__rn")
     )
-    wanted = sample.select(*keys).distinct()
+    wanted = distinct_hinted(sample.select(*keys))
     partner = (
         other.select(*named, value.alias("__right"))
-        .join(hint_if_small(wanted), keys, "left_semi")
+        .join(wanted, keys, "left_semi")
         .groupBy(*keys)
         .agg(F.min("__right").alias("__right"))
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.operators.checks import Check, Evaluated, parse_checks
-from mendflow.operators.lookup import any_null, hint_if_small, lookup_join, matching_keys
+from mendflow.operators.lookup import any_null, distinct_hinted, is_small, lookup_join, matching_keys
 
 
 def reingest_target(quarantine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -85,12 +85,13 @@ def revalidate(
         *columns, "row_id", cast_failed.alias(markers[0]), F.lit(True).alias(markers[1])
     )
     union = rows
-    if against is not None:
-        replaced = hint_if_small(rows.select(*keys).distinct())
+    unique = [c for c in parsed if c.function == "is_unique"]
+    if against is not None and unique:
+        small = is_small(rows.select(*{*keys, *(c for u in unique for c in u.columns)}))
+        replaced = distinct_hinted(rows.select(*keys), small)
         kept = against.join(replaced, list(keys), "left_anti")
-        for check in parsed:
-            if check.function == "is_unique":
-                union = union.unionByName(_colliding(kept, rows, check))
+        for check in unique:
+            union = union.unionByName(_colliding(kept, rows, check, small))
     done = Evaluated(union, parsed, refs, markers)
     passed = ~done.any_failing("error") & ~F.col("__cast_failed")
     return done.frame.filter("__candidate").select(
@@ -98,7 +99,7 @@ def revalidate(
     )
 
 
-def _colliding(target: DataFrame, rows: DataFrame, check: Check) -> DataFrame:
+def _colliding(target: DataFrame, rows: DataFrame, check: Check, small: bool) -> DataFrame:
     """Distinct target values of a uniqueness key that some candidate also has.
 
     The target is cut by a semi join with the candidates' values before anything is counted.
@@ -109,8 +110,8 @@ def _colliding(target: DataFrame, rows: DataFrame, check: Check) -> DataFrame:
     def value(c: str) -> Column:
         return F.lower(c) if c in folded else F.col(c)
 
-    wanted = hint_if_small(
-        rows.select(*[value(c).alias(f"__w_{c}") for c in check.columns]).distinct()
+    wanted = distinct_hinted(
+        rows.select(*[value(c).alias(f"__w_{c}") for c in check.columns]), small
     )
     pairs = [
         value(c).eqNullSafe(F.col(f"__w_{c}")) if same_nulls else value(c) == F.col(f"__w_{c}")

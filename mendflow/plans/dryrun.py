@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from mendflow import schemas as S
 from mendflow.operators import metrics, playbook, reingest
 from mendflow.operators.queue import latest_quarantined
+from mendflow.sources import tables
 
 
 def dry_run_report(
@@ -24,19 +25,22 @@ def dry_run_report(
     run_id: str = "",
     refs: Mapping[str, DataFrame] | None = None,
     as_of: Column | None = None,
+    cut: Callable[[DataFrame], DataFrame] = tables.cut_lineage,
 ) -> DataFrame:
     """One report row for one quarantine table.
 
     Each row gets its playbook action, re-validation result and merge action; one aggregation
-    over those labels makes the report. ``keys`` are the merge keys of the table.
+    over those labels makes the report. ``keys`` are the merge keys of the table. The newest
+    rows and their playbook actions feed several counts and are kept in the scratch folder; no
+    table is written.
     """
-    latest = latest_quarantined(quarantine)
+    latest = cut(latest_quarantined(quarantine))
     target = reingest.reingest_target(latest)
     work = metrics.remaining_work(latest, queue, quarantine_fqn)
     pending = metrics.pending_rows(latest, queue, quarantine_fqn)
 
     usable = playbook.usable_entries(entries, quarantine_fqn)
-    handled = playbook.apply_playbook(pending, usable)
+    handled = cut(playbook.apply_playbook(pending, usable))
     fixed = F.col("remediation_action").isin("keep", "patch_fields")
     columns = S.data_columns(latest)
     patched = reingest.apply_patch(

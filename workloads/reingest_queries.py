@@ -166,7 +166,7 @@ def _staged(spark, sf):
     done = _repaired(spark, sf)
     rows = reingest.revalidate(_patched(spark, sf, done), X.CHECKS).drop("order_ts", "status", "code")
     queue = playbook.playbook_updates(done, X.FQN, "run1", X.at(4))
-    return reingest.with_lineage(reingest.stage(rows, queue), "run1", X.at(4))
+    return tables.cut_lineage(reingest.with_lineage(reingest.stage(rows, queue), "run1", X.at(4)))
 
 
 @query(X.prelude(ROUTED, PATCHED, STAGED) + """SELECT order_id, customer_id, priority, amount, agent_curated,
