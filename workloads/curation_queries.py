@@ -126,10 +126,12 @@ def playbook_apply(spark, sf):
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   CASE WHEN rn = 1 THEN 'keep' ELSE 'drop' END AS action FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-    ORDER BY l_shipdate DESC NULLS LAST, concat_ws('|', l_partkey, l_suppkey)) AS rn FROM lineitem)""")
+    ORDER BY l_shipdate DESC NULLS LAST,
+      concat_ws('|', l_partkey, l_suppkey, l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT))) AS rn FROM lineitem)""")
 def dedupe_latest(spark, sf):
     lines = X.table(spark, sf, "lineitem").withColumn(
-        "row_id", F.concat_ws("|", "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
+        "row_id",
+        F.concat_ws("|", "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("bigint")),
     )
     done = playbook.dedupe_keep_latest(
         lines, {"partition_by": ["l_orderkey", "l_linenumber"], "order_by": "l_shipdate"}
