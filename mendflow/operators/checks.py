@@ -253,6 +253,7 @@ class Evaluated:
     ):
         S.require_plain_columns(df.drop("row_id", *markers))
         self.columns = df.columns
+        self._given = (df, refs, markers)
         self.checks = parse_checks(checks)
         names = [c.name for c in self.checks]
         if len(set(names)) < len(names):
@@ -290,7 +291,16 @@ class Evaluated:
         return self._with_results(self.frame)
 
     def valid(self) -> DataFrame:
-        """Rows without a failed error check; warnings stay in."""
+        """Rows without a failed error check; warnings stay in.
+
+        Dataset checks that only warn are left out, so their joins are not run for these rows.
+        """
+        needless = [
+            c for c in self.checks if c.criticality != "error" and c.function in DATASET_CHECKS
+        ]
+        if needless:
+            df, refs, markers = self._given
+            return Evaluated(df, [c for c in self.checks if c not in needless], refs, markers).valid()
         return self.frame.filter(~self.any_failing("error")).select(*self.columns)
 
     def invalid(self) -> DataFrame:

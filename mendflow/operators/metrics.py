@@ -55,7 +55,7 @@ def audit_row(queue: DataFrame, run_id: str, as_of: Column | None = None) -> Dat
 
 
 def summary_metrics(
-    queue: DataFrame, run_id: str, metric_source: str = "agentic_reingest", as_of: Column | None = None
+    queue: DataFrame, run_id: str, metric_source: str = "reingest", as_of: Column | None = None
 ) -> DataFrame:
     """One summary row per table in the shape of the shared quality dashboard."""
     return _run_counts(queue, run_id).select(

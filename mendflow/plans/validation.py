@@ -99,6 +99,12 @@ class Validator:
         return valid
 
     def _append(self, quarantine: DataFrame, target: str, seen: Observation) -> None:
-        """Write and count in one pass."""
-        tables.append(quarantine, target)
+        """Append the bad rows, if there are any.
+
+        The checks run once: the bad rows are written to the scratch folder and counted by that
+        write, and only these few rows are read again for the append.
+        """
+        found = tables.cut_lineage(quarantine)
         self.last_counts = dict(seen.get)
+        if self.last_counts["invalid_rows"]:
+            tables.append(found, target)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,8 +34,13 @@ def validate_stream(
     parsed = parse_checks(checks)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        valid, quarantine = validate(batch, parsed, sources, keys, refs, as_of)
-        sink(valid, quarantine, batch_id)
+        # Both outputs and the key counts read the batch; lost blocks are read from the source again.
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            valid, quarantine = validate(kept, parsed, sources, keys, refs, as_of)
+            sink(valid, quarantine, batch_id)
+        finally:
+            kept.unpersist()
 
     writer = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}

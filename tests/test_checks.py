@@ -89,6 +89,13 @@ def test_warn_only_rows_stay_valid_and_are_quarantined(spark):
     assert valid.count() == 4 and invalid.count() == 1
 
 
+def test_warning_checks_on_keys_do_not_shuffle_valid_rows(spark):
+    checks = [check("w", "is_unique", "warn", columns=["customer_id"]), check("e", "is_not_null", column="customer_id")]
+    valid, invalid = C.split(orders(spark), checks)
+    assert rows(valid, "order_id") == [(1,), (3,), (4,)] and rows(invalid, "order_id") == [(1,), (2,), (3,)]
+    assert "Exchange" not in valid._jdf.queryExecution().executedPlan().toString()
+
+
 def test_valid_and_error_rows_make_up_the_input(spark):
     checks = [check("e", "is_not_null", column="customer_id"), check("u", "is_unique", columns=["customer_id"])]
     valid, invalid = C.split(orders(spark), checks)

@@ -89,6 +89,13 @@ def test_validation_writes_and_counts(spark):
     assert gate.last_counts["invalid_rows"] == 0 and tables.read(spark, fqn).count() == 7
 
 
+def test_nothing_is_written_when_all_rows_pass(spark):
+    gate = Validator(spark, rules_frame(spark, CODE, table="clean.silver.orders"))
+    valid = gate.run_validation(spark.createDataFrame(INPUT[:1], DDL), "clean.silver.orders", "id")
+    assert valid.count() == 1 and gate.last_counts["invalid_rows"] == 0
+    assert not tables.exists(spark, "clean.quarantine.silver_orders")
+
+
 def test_validation_guards(spark):
     gate = Validator(spark, rules_frame(spark, CODE))
     df = spark.createDataFrame(INPUT, DDL)

@@ -257,7 +257,7 @@ def audit_row(spark, sf):
     return metrics.audit_row(X.frame(spark, sf, "QUEUE"), "run2", X.at(1)).drop("run_at")
 
 
-@query(QUEUE + f""", {COUNTS} SELECT 'agentic_reingest' AS metric_source, quarantine_fqn AS table_fqn,
+@query(QUEUE + f""", {COUNTS} SELECT 'reingest' AS metric_source, quarantine_fqn AS table_fqn,
   'run2' AS run_id, triaged AS input_row_count, reingested AS passed_row_count,
   failing + escalated AS failed_row_count, errors AS error_row_count, 0::BIGINT AS warning_row_count FROM counts""")
 def summary_metrics(spark, sf):
