@@ -180,6 +180,16 @@ def advance_queue(
     )
 
 
+def _exhausted(max_retries: int) -> Column:
+    return (F.col("status") == S.REVALIDATED_FAIL) & (F.col("retry_count") >= max_retries)
+
+
+def would_escalate(queue: DataFrame, max_retries: int = S.MAX_RETRIES) -> DataFrame:
+    """Per table, how many rows ``escalate_exhausted`` would move."""
+    spent = F.count_if(_exhausted(max_retries))
+    return queue.groupBy("quarantine_fqn").agg(spent.alias("would_escalate"))
+
+
 def escalate_exhausted(
     queue: DataFrame,
     max_retries: int = S.MAX_RETRIES,
@@ -187,7 +197,7 @@ def escalate_exhausted(
     as_of: Column | None = None,
 ) -> DataFrame:
     """Escalate failures that have used up their retries."""
-    spent = (F.col("status") == S.REVALIDATED_FAIL) & (F.col("retry_count") >= max_retries)
+    spent = _exhausted(max_retries)
     as_of = F.current_timestamp() if as_of is None else as_of
     changes = {
         "updated_at": F.when(spent, as_of).otherwise(F.col("updated_at")),

@@ -86,6 +86,7 @@ def remediate(
     max_retries: int = S.MAX_RETRIES,
     gate: str = "rows",
     requeue: str = "never",
+    reset_queue: bool = False,
     reingestable: bool = True,
     dry_run: bool = False,
     as_of: Column | None = None,
@@ -94,11 +95,13 @@ def remediate(
     """The whole pass for one table whose merge target and keys are known.
 
     With ``dry_run`` rows stay ``revalidated_pass`` and the clean table is unchanged; a later
-    run takes them up again.
+    run takes them up again. With ``reset_queue`` the table's queue rows are dropped first and
+    its quarantined rows are triaged from scratch.
     """
     propose = propose or (lambda rows: curate.search_transforms(rows, checks))
     others = Q.reset_queue(queue, quarantine_fqn)
-    queue = queue.filter(F.col("quarantine_fqn") == quarantine_fqn)
+    mine = F.col("quarantine_fqn") == quarantine_fqn
+    queue = queue.filter(F.lit(False) if reset_queue else mine)
     latest = cut(Q.latest_quarantined(quarantine))
     queued, decisions = curated_queue(
         latest, queue, quarantine_fqn, run_id, entries, propose, threshold, requeue, as_of

@@ -166,6 +166,9 @@ def test_a_pass_moves_rows_to_the_clean_table(spark):
     before = rows(silver)
     run(spark, shop, "run2")
     assert rows(tables.read(spark, shop[0])) == before and by_id(spark, shop) == states
+    run(spark, shop, "run3", reset_queue=True)
+    assert by_id(spark, shop).keys() == states.keys()
+    assert {r["run_id"] for r in tables.read(spark, shop[2]).collect()} == {"run3"}
 
 
 def given(*listed):

@@ -80,6 +80,12 @@ def escalate_exhausted(spark, sf):
     return Q.escalate_exhausted(queue, as_of=X.at(2)).select("review_id", "status")
 
 
+@query(QUEUE + """SELECT quarantine_fqn, count(*) FILTER (WHERE status = 'revalidated_fail' AND retry_count >= 3)
+  AS would_escalate FROM queue GROUP BY quarantine_fqn""")
+def would_escalate(spark, sf):
+    return Q.would_escalate(X.frame(spark, sf, "QUEUE"))
+
+
 @query(QUEUE + """, after AS (SELECT review_id, CASE WHEN status = 'revalidated_fail' AND retry_count >= 3
     THEN 'escalated' ELSE status END AS new_status FROM queue WHERE quarantine_fqn <> 'main.quarantine.silver_low'),
 before AS (SELECT review_id, status AS old_status FROM queue WHERE quarantine_fqn <> 'main.quarantine.silver_high')
