@@ -5,23 +5,54 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from mendflow.llm import token_output
+from mendflow.llm import chat, mixing, quality, token_output, urls
 from mendflow.sources.tables import scratch_folder
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(oracle: str | None = None):
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        if oracle is not None:
+            ORACLES[fn.__name__] = oracle
+        return fn
+
+    return register
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query
+@query(chat.ORACLE)
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame(
+        [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, sf_dir, "conversations").select(*added.columns)
+    return chat.digest(rows.unionByName(added))
+
+
+@query(urls.ORACLE)
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.filter_urls(pages, urls.ALLOW, urls.BLOCK).drop("url")
+
+
+@query(quality.ORACLE)
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).drop("host", "digest")
+
+
+@query(mixing.ORACLE.format(docs="documents"))
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query()
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
     path = public_tokenizers.path("byte_bpe_50k.json")

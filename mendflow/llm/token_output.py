@@ -35,9 +35,9 @@ from mendflow.sources.tables import cut_lineage
 
 END_ID = 0
 #: Ids in a record, one document at least.
-RECORD_IDS = 1 << 20
+RECORD_IDS = 1 << 18
 #: Chunks whose ids a Python worker keeps.
-CACHE_CHUNKS = 1 << 20
+CACHE_CHUNKS = 1 << 19
 
 _BLANK = words.SEPARATOR.copy()
 _BLANK[0x1C:0x20] = True

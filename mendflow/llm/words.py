@@ -52,7 +52,7 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batch: pa.RecordBatch, text: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, text: str, most: int = 3 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes of text, one row at least."""
     column = batch.column(batch.schema.get_field_index(text))
     sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
