@@ -136,7 +136,7 @@ def windows(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
         left >>= 1
         if left:
             acc = acc[:-size] * power + acc[size:]
-            power, size = power * power, size * 2
+            power, size = np.uint64(int(power) ** 2 % 2**64), size * 2
     room = np.repeat(first[1:], np.diff(first))[:n]
     at = np.flatnonzero(np.arange(n) + k <= room)
     return mixed(total[at]), at
