@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mendflow.llm import chat, mixing, quality, token_output, urls
+from mendflow.llm import chat, decontaminate, html_text, lines, mixing, neardup, quality, substrings, token_output, urls
 from mendflow.sources.tables import scratch_folder
 
 QUERIES = {}
@@ -26,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.classify(table(spark, sf_dir, "documents"))
+
+
 @query(chat.ORACLE)
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
@@ -47,11 +53,32 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("host", "digest")
 
 
+@query()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classify(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
 @query(mixing.ORACLE.format(docs="documents"))
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark)
