@@ -192,7 +192,9 @@ def classify(docs: DataFrame) -> DataFrame:
     found = similar_texts(docs).select(F.col("node").alias("key"), "root")
     rooted = ids.join(found, "key", "left").withColumn("root", F.coalesce("root", "key"))
     rooted = cut_lineage(rooted)
-    classes = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    classes = cut_lineage(
+        rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    )
     return rooted.join(classes, "root").select("doc_id", "class_id", "class_size", "key", "root")
 
 
