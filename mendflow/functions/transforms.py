@@ -100,7 +100,10 @@ _SQL: dict[str, Callable[[str, Param], str]] = {
     "to_timestamp": _date("yyyy-MM-dd HH:mm:ss"),
     "left_pad": _pad("lpad"),
     "right_pad": _pad("rpad"),
-    "substring": lambda v, p: f"substring({v}, {_number(p('pos', None))}, {_number(p('len', '1000000'))})",
+    "substring": lambda v, p: (
+        f"CASE WHEN {p('len', None)} IS NULL THEN substring({v}, {_number(p('pos', None))}) "
+        f"ELSE substring({v}, {_number(p('pos', None))}, {_number(p('len', None))}) END"
+    ),
     "set_default": lambda v, p: f"coalesce({v}, {p('value', None)})",
     "set_null": lambda v, p: "CAST(NULL AS string)",
 }

@@ -8,6 +8,7 @@ trying transforms on the failing rows. A signature without a proposal escalates.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,7 +18,8 @@ from mendflow import schemas as S
 from mendflow.functions.identity import signature
 from mendflow.functions.transforms import chain_sql, column, is_bad_fix, quoted, run_steps
 from mendflow.operators.checks import VALUE_CHECKS, Check, parse_checks, value_fails
-from mendflow.operators.lookup import class_join
+from mendflow.operators.lookup import class_join, is_small
+from mendflow.sources import tables
 
 FIXES = "array<map<string,string>>"
 
@@ -31,18 +33,23 @@ def _failed() -> Column:
     return F.concat(F.coalesce(S.ERROR, empty), F.coalesce(S.WARNING, empty))
 
 
+def known_columns(named: Column, available: Sequence[str]) -> Column:
+    """Sorted data columns of lists of names."""
+    known = F.array(*[F.lit(c) for c in available]).cast("array<string>")
+    return F.array_sort(F.array_intersect(F.array_distinct(F.flatten(named)), known))
+
+
 def flagged_columns(available: Sequence[str]) -> Column:
     """Sorted data columns named by the failed checks of a row."""
-    named = F.flatten(F.transform(_failed(), lambda r: r["columns"]))
-    known = F.array(*[F.lit(c) for c in available]).cast("array<string>")
-    return F.array_sort(F.array_intersect(F.array_distinct(named), known))
+    return known_columns(F.transform(_failed(), lambda r: r["columns"]), available)
 
 
 def signature_profiles(df: DataFrame, sample_size: int = S.SAMPLE_SIZE) -> DataFrame:
     """Per signature: rows, failed rules, flagged columns and a sample of failing values.
 
     Counting and rule gathering combine before the shuffle; the sample is the first
-    ``sample_size`` rows by ``row_id`` and is cut in each task first.
+    ``sample_size`` rows by ``row_id`` and is cut in each task first. Rules and flagged columns
+    come from every row.
     """
     columns = S.data_columns(df.drop("signature"))
     flagged = df.withColumn("flagged", flagged_columns(columns))
@@ -53,6 +60,7 @@ def signature_profiles(df: DataFrame, sample_size: int = S.SAMPLE_SIZE) -> DataF
         .distinct()
         .groupBy("signature")
         .agg(F.array_sort(F.collect_list(F.struct("name", "function", "message", "columns"))).alias("rules"))
+        .withColumn("flagged", known_columns(F.transform("rules", lambda r: r["columns"]), columns))
     )
     samples = _samples(flagged, columns, sample_size)
     return counts.join(rules, "signature", "left").join(samples, "signature", "left")
@@ -80,14 +88,14 @@ def _samples(flagged: DataFrame, columns: Sequence[str], sample_size: int) -> Da
         F.transform(
             F.array_sort(F.collect_list(F.struct("__rn", picked.alias("v")))), lambda s: s["v"]
         ).alias("samples"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("flagged")))).alias("flagged"),
     )
 
 
 def passing_examples(silver: DataFrame, columns: Sequence[str], n: int = S.PASSING_EXAMPLES) -> DataFrame:
     """The ``n`` smallest distinct non-null values of each column, as text.
 
-    All columns share one scan; values are made distinct with map-side combine before ranking.
+    All columns share one scan. Ranks of equal values are equal, so each task keeps the rows of
+    its own ``n`` smallest values before the shuffle; what is left is made distinct.
     """
     present = [c for c in columns if c in silver.columns]
     pairs = F.array(
@@ -97,10 +105,13 @@ def passing_examples(silver: DataFrame, columns: Sequence[str], n: int = S.PASSI
     return (
         silver.select(F.inline(pairs))
         .filter("value is not null")
-        .distinct()
-        .withColumn("__rn", F.row_number().over(smallest))
+        .groupBy("column", "value", F.spark_partition_id())
+        .agg(F.lit(1))
+        .select("column", "value")
+        .withColumn("__rn", F.dense_rank().over(smallest))
         .filter(F.col("__rn") <= n)
-        .drop("__rn")
+        .select("column", "value")
+        .distinct()
     )
 
 
@@ -109,58 +120,112 @@ def passing_examples(silver: DataFrame, columns: Sequence[str], n: int = S.PASSI
 REPLY_DDL = f"decision string, fixes {FIXES}, confidence double, reasoning string"
 
 
+# Text of an object: strings in either quotes, and objects within it to a depth of three.
+_STRING = r"""(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+')"""
+_OBJECT = ""
+for _ in range(3):
+    _OBJECT = r"\{(?:[^{}\"']++|" + _STRING + (f"|{_OBJECT}" if _OBJECT else "") + r")*+\}"
+_PIECES = f"(?s){_STRING}|[^\"']+|."
+
+
+def _literals_as_json(text: Column) -> Column:
+    """``None``, ``True`` and ``False`` outside strings as JSON writes them."""
+    pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
+
+    def plain(piece: Column) -> Column:
+        for name, value in (("None", "null"), ("True", "true"), ("False", "false")):
+            piece = F.regexp_replace(piece, rf"\b{name}\b", value)
+        return piece
+
+    def is_text(p: Column) -> Column:
+        return F.substring(p, 1, 1).isin('"', "'")
+
+    return F.array_join(F.transform(pieces, lambda p: F.when(is_text(p), p).otherwise(plain(p))), "")
+
+
 def parse_replies(replies: DataFrame, reply_col: str = "reply") -> DataFrame:
     """Decisions from text replies ``(signature, reply)``; prose around the object is ignored.
 
-    A reply that does not hold a decision escalates with confidence 0.
+    Every balanced object of the text is tried in order and the first that holds a decision wins;
+    Python literals count as well as JSON. A reply without one escalates with confidence 0.
     """
-    text = F.regexp_extract(F.coalesce(reply_col, F.lit("")), r"(?s)\{.*\}", 0)
-    parsed = F.from_json(text, REPLY_DDL, {"allowSingleQuotes": "true"})
+    found = F.regexp_extract_all(F.coalesce(reply_col, F.lit("")), F.lit(f"(?s){_OBJECT}"), F.lit(0))
+    parsed = F.transform(
+        found, lambda x: F.from_json(_literals_as_json(x), REPLY_DDL, {"allowSingleQuotes": "true"})
+    )
+    first = F.get(F.filter(parsed, lambda r: r["decision"].isNotNull()), F.lit(0))
     good = F.col("r.decision").isNotNull()
-    return replies.withColumn("r", parsed).select(
+    return replies.withColumn("r", first).select(
         "signature",
         F.coalesce("r.decision", F.lit("escalate")).alias("decision"),
         F.coalesce("r.fixes", F.array().cast(FIXES)).alias("fixes"),
         F.when(good, F.coalesce("r.confidence", F.lit(0.0))).otherwise(0.0).alias("confidence"),
-        F.when(good, F.substring(F.coalesce("r.reasoning", F.lit("")), 1, 4000))
+        F.when(good, F.coalesce("r.reasoning", F.lit("")))
         .otherwise("agent_unavailable: no decision in reply")
         .alias("reasoning"),
     )
 
 
-# Transform chains the search tries, in order of preference.
-CANDIDATES: tuple[tuple[Mapping, ...], ...] = (
-    ({"transform": "trim"},),
-    ({"transform": "lower_trim"},),
-    ({"transform": "upper_trim"},),
-    ({"transform": "regexp_replace", "pattern": "^[A-Za-z]+", "replacement": ""},),
-    (
-        {"transform": "regexp_replace", "pattern": "^[A-Za-z]+", "replacement": ""},
-        {"transform": "left_pad", "length": "5", "pad": "0"},
-    ),
+# Chains that are tried on every failing text column, in order of preference.
+CASE_AND_BLANKS: tuple[tuple[Mapping, ...], ...] = tuple(
+    ({"transform": t},) for t in ("trim", "lower_trim", "upper_trim")
 )
 
+# A pattern that is one character class repeated a fixed number of times.
+_FIXED_LENGTH = re.compile(r"\^?(\[[^\]^]+\]|\\d)\{(\d+)\}\$?")
+
+
+def candidates_for(check: Check) -> list[tuple[Mapping, ...]]:
+    """Chains that may repair a value which fails this check, derived from the check itself.
+
+    A fixed-length pattern suggests dropping what stands before the first character of its class,
+    and padding to its length after that; every check suggests trimming and changing case.
+    """
+    chains = list(CASE_AND_BLANKS)
+    shape = _FIXED_LENGTH.fullmatch(str(check.arguments.get("pattern") or ""))
+    if check.function == "matches_regex" and shape:
+        inside, length = shape.groups()
+        inside = "[0-9]" if inside == "\\d" else inside
+        # Something of the value must be left, or padding would make one up.
+        prefix = f"^[^{inside[1:-1]}]+(?={inside})"
+        strip = {"transform": "regexp_replace", "pattern": prefix, "replacement": ""}
+        pad = "0" if re.match(inside, "0") else "A"
+        chains += [(strip,), (strip, {"transform": "left_pad", "length": length, "pad": pad})]
+    return chains
+
+
+def _tried(
+    df: DataFrame, checks: Sequence[Mapping | Check], candidates: Sequence[Sequence[Mapping]] | None
+) -> list[tuple[Check, Sequence[Sequence[Mapping]]]]:
+    """Checks of one text-like column with the chains to try on it."""
+    found = []
+    for check in parse_checks(checks):
+        if check.function in VALUE_CHECKS and len(check.columns) == 1 and check.columns[0] in df.columns:
+            found.append((check, candidates_for(check) if candidates is None else candidates))
+    return found
+
 
 def transform_scores(
     df: DataFrame,
     checks: Sequence[Mapping | Check],
-    candidates: Sequence[Sequence[Mapping]] = CANDIDATES,
+    candidates: Sequence[Sequence[Mapping]] | None = None,
 ) -> DataFrame:
     """Share of failing rows each candidate would repair, per signature and rule.
 
-    One aggregation over all rows. A repaired value must also read as the column's own type; a
-    null result does not count as repaired.
+    One aggregation over all rows. Candidates are derived from the checks unless they are given;
+    ``candidate`` counts those of the rule. A repaired value must also read as the column's own
+    type; a null result does not count as repaired.
     """
-    tried = [c for c in parse_checks(checks) if c.function in VALUE_CHECKS and c.columns[0] in df.columns]
+    tried = _tried(df, checks, candidates)
     schema = "signature string, rule string, column string, n_rows bigint, candidate int, share double"
-    if not tried or not candidates:
+    if not any(chains for _, chains in tried):
         return df.sparkSession.createDataFrame([], schema)
     types = dict(df.dtypes)
     aggs, rows = [], []
-    for i, check in enumerate(tried):
+    for i, (check, chains) in enumerate(tried):
         mine = f"array_contains(rule_violations, {quoted(check.name)})"
         aggs.append(F.expr(f"count_if({mine})").alias(f"__n{i}"))
-        for k, steps in enumerate(candidates):
+        for k, steps in enumerate(chains):
             target = check.columns[0]
             fixed = f"try_cast({chain_sql(steps, target)} AS {types[target]})"
             passes = f"{fixed} IS NOT NULL AND NOT {value_fails(check, fixed)}"
@@ -180,7 +245,7 @@ def transform_scores(
 def search_transforms(
     df: DataFrame,
     checks: Sequence[Mapping | Check],
-    candidates: Sequence[Sequence[Mapping]] = CANDIDATES,
+    candidates: Sequence[Sequence[Mapping]] | None = None,
     threshold: float = S.PROBE_THRESHOLD,
 ) -> DataFrame:
     """Proposals found by trying candidate chains on the failing rows.
@@ -194,12 +259,24 @@ def search_transforms(
         .withColumn("__rn", F.row_number().over(order))
         .filter("__rn = 1")
     )
-    steps = F.array(
-        *[
-            F.array(*[F.create_map(*[F.lit(str(x)) for kv in s.items() for x in kv]) for s in c])
-            for c in candidates
-        ]
-    )
+
+    def step(fix: Mapping) -> Column:
+        return F.create_map(*[F.lit(str(x)) for kv in fix.items() for x in kv])
+
+    known = [
+        x
+        for check, chains in _tried(df, checks, candidates)
+        for x in (F.lit(check.name), F.array(*[F.array(*[step(f) for f in c]) for c in chains]))
+    ]
+    if not known:
+        return df.select("signature").distinct().select(
+            "signature",
+            F.lit("escalate").alias("decision"),
+            F.array().cast(FIXES).alias("fixes"),
+            F.lit(0.0).alias("confidence"),
+            F.lit("no transform repaired enough rows").alias("reasoning"),
+        )
+    steps = F.element_at(F.create_map(*known), F.col("rule"))
     chosen = F.transform(
         F.element_at(steps, F.col("candidate") + 1),
         lambda s: F.map_concat(F.create_map(F.lit("column"), F.col("column")), s),
@@ -255,6 +332,14 @@ def checked_proposals(proposals: DataFrame) -> DataFrame:
     )
 
 
+def _with_class(df: DataFrame, classes: DataFrame) -> DataFrame:
+    """Join a table of one row a signature: sent to all tasks if it is measured small, else spread."""
+    classes = tables.cut_lineage(classes)
+    if is_small(classes):
+        return df.join(F.broadcast(classes), "signature", "left")
+    return class_join(df, classes, ["signature"])
+
+
 def apply_proposals(
     df: DataFrame, proposals: DataFrame, flagged_only: bool = True
 ) -> DataFrame:
@@ -270,7 +355,7 @@ def apply_proposals(
     rows = df.select(
         "row_id", "signature", targets.alias("__targets"), _values(columns).alias("__values")
     )
-    joined = class_join(rows, checked_proposals(proposals), ["signature"]).withColumn(
+    joined = _with_class(rows, checked_proposals(proposals)).withColumn(
         "__cols", F.array_intersect(named, F.col("__targets"))
     )
 
@@ -287,11 +372,13 @@ def apply_proposals(
         "__moved",
         F.expr("coalesce(exists(__out, o -> NOT (o.value <=> __values[o.column])), false)"),
     )
+    # The fold over the transforms runs once; its results are read for the guard and for the rows.
+    outcome = tables.cut_lineage(outcome.drop("__values", "__targets", "__cols", "fixes"))
     per_signature = outcome.groupBy("signature").agg(
         F.bool_or("__moved").alias("__any_moved"),
         F.bool_or(F.col("__out").isNotNull()).alias("__usable"),
     )
-    judged = class_join(outcome, per_signature, ["signature"])
+    judged = _with_class(outcome, per_signature)
     fails = is_fix & ~(F.col("__usable") & F.col("__any_moved"))
     why = F.when(~F.col("__usable"), "no valid flagged column in fixes: ").otherwise(
         "proposed transform was a no-op (before == after): "

@@ -1,19 +1,21 @@
 """Joins that attach a lookup to rows whose keys may be badly skewed.
 
 One key (or the null key) may hold a third of all rows. Spark's adaptive skew join helps when
-it fires; these helpers do not depend on it. Rows of the heaviest keys are spread over ``SALTS``
-partitions and only the lookup rows of those keys are repeated; rows with a null key are spread
-too. Results stay exact whichever keys are found to be heavy.
+it fires; these helpers do not depend on it. A key of more than ``TASK_ROWS`` rows is spread over
+as many partitions as it has that number of rows, and only the lookup rows of such keys are
+repeated; rows with a null key are spread too. Results stay exact whichever keys are found.
 
 * ``lookup_join`` finds the heavy keys with a mergeable top-k sketch: one pass over the key
-  columns that shuffles sketches, not keys. It runs when the plan is built and brings back at
-  most ``MAX_HOT_KEYS`` hash values.
-* ``counted_join`` is for checks that count their keys anyway: the heaviest counted keys are
-  broadcast as hash values, bounded by the same limit, without an extra job.
+  columns that shuffles sketches, not keys. It runs when the plan is built. The sketch grows with
+  the table, so that every key of more than a few tasks' rows is in it.
+* ``counted_join`` is for checks that count their keys anyway: the heavy counted keys are
+  broadcast as hash values, without an extra job.
 * ``is_small`` measures a frame with one aggregation. Only a frame under
   ``MAX_BROADCAST_BYTES`` gets a broadcast hint; beyond that the join shuffles.
 * ``class_join`` is for lookups with one row per failure class (few rows, huge groups): every
-  lookup row is repeated ``SALTS`` times.
+  lookup row is repeated for each shuffle partition.
+
+Heavy keys are at most the table's rows over ``TASK_ROWS``, two numbers each.
 
 The salt is the partition number of the row, so a recomputed task gives the same salt again
 and exact copies of a row still spread out.
@@ -27,13 +29,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 256
-HOT_KEY_ROWS = 100_000
-SALTS = 256
+#: Rows of one key that one task may get.
+TASK_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Sketch size: keys above about 0.1 % of the rows are found.
-TRACKED_KEYS = 4096
+# Sketch size: least and most items, and items for each key that may be heavy.
+TRACKED_KEYS = (4096, 1_000_000)
+TRACKED_PER_HEAVY = 4
 SKETCH_GROUPS = 1000
 
 
@@ -41,36 +43,61 @@ def any_null(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
 
 
-def _spread(salts: int) -> Column:
-    return F.pmod(F.spark_partition_id(), F.lit(salts))
+def _width(df: DataFrame) -> int:
+    """Partitions to spread a group over that is known to be large."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _salted_join(
-    df: DataFrame, lookup: DataFrame, on: list[str], hot_row: Column, hot_copy: Column, salts: int
-) -> DataFrame:
-    salt = (
-        F.when(any_null(on), -1 - _spread(salts)).when(hot_row, _spread(salts)).otherwise(F.lit(0))
-    )
-    copies = F.when(hot_copy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = df.withColumn("__salt", salt.cast("int"))
-    right = lookup.withColumn("__salt", F.explode(copies))
-    return left.join(right, [*on, "__salt"], "left").drop("__salt", "__hot", "__hash")
+def _spread(salts: int | Column) -> Column:
+    return F.pmod(F.spark_partition_id(), salts if isinstance(salts, Column) else F.lit(salts))
+
+
+def _salted_join(df: DataFrame, lookup: DataFrame, on: list[str], hot: DataFrame | None) -> DataFrame:
+    """``hot`` has ``__hash`` and ``__salts`` of the heavy keys; it is small enough to send to all tasks."""
+    nulls = -1 - _spread(_width(df))
+    if hot is None:
+        left = df.withColumn("__salt", F.when(any_null(on), nulls).otherwise(F.lit(0)).cast("int"))
+        right = lookup.withColumn("__salt", F.lit(0))
+        return left.join(right, [*on, "__salt"], "left").drop("__salt")
+    hot = F.broadcast(hot)
+    left, right = (x.withColumn("__hash", F.xxhash64(*on)).join(hot, "__hash", "left") for x in (df, lookup))
+    salts = F.col("__salts")
+    salt = F.when(any_null(on), nulls).when(salts > 1, _spread(salts)).otherwise(F.lit(0))
+    left = left.withColumn("__salt", salt.cast("int")).drop("__hash", "__salts")
+    copies = F.sequence(F.lit(0), F.coalesce(salts, F.lit(1)) - 1)
+    right = right.withColumn("__salt", F.explode(copies)).drop("__hash", "__salts")
+    return left.join(right, [*on, "__salt"], "left").drop("__salt")
+
 
+def _salts(rows: str, task_rows: int) -> Column:
+    return F.ceil(F.col(rows) / task_rows).cast("int")
 
-def hot_hashes(df: DataFrame, on: Sequence[str]) -> list[int]:
-    """Hashes of the heaviest keys, at most ``MAX_HOT_KEYS``; keys with a null do not count.
+
+def hot_keys(df: DataFrame, on: Sequence[str], task_rows: int | None = None) -> DataFrame | None:
+    """``__hash`` and ``__salts`` of the heavy keys; keys with a null do not count.
 
     Sketches are merged in two steps so that no task receives one from every input task.
     """
+    task_rows = task_rows or TASK_ROWS
     keys = df.filter(~any_null(on)).select(F.xxhash64(*on).alias("h"))
+    rows = keys.count()
+    most = rows // task_rows
+    if not most:
+        return None
+    tracked = min(max(TRACKED_PER_HEAVY * most, TRACKED_KEYS[0]), TRACKED_KEYS[1])
     sketches = (
         keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
-        .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED_KEYS})").alias("s"))
+        .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
         .groupBy(F.col("g") < 0)  # one group; a grouped merge skips partitions without a sketch
-        .agg(F.expr(f"approx_top_k_combine(s, {TRACKED_KEYS})").alias("s"))
+        .agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+    )
+    top = sketches.selectExpr(f"inline(approx_top_k_estimate(s, {min(most, tracked)}))")
+    found = (
+        top.filter(F.col("count") >= task_rows)
+        .select(F.col("item").alias("__hash"), _salts("count", task_rows).alias("__salts"))
+        .collect()
     )
-    top = sketches.selectExpr(f"inline(approx_top_k_estimate(s, {MAX_HOT_KEYS}))")
-    return [r["item"] for r in top.filter(F.col("count") >= HOT_KEY_ROWS).collect()]
+    return df.sparkSession.createDataFrame(found, "__hash long, __salts int") if found else None
 
 
 def is_small(df: DataFrame) -> bool:
@@ -86,7 +113,9 @@ def distinct_hinted(df: DataFrame, small: bool | None = None) -> DataFrame:
     return F.broadcast(df.distinct()) if small else df.distinct()
 
 
-def matching_keys(target: DataFrame, rows: DataFrame, on: Sequence[str]) -> DataFrame:
+def matching_keys(
+    target: DataFrame, rows: DataFrame, on: Sequence[str], small: bool | None = None
+) -> DataFrame:
     """Distinct keys of ``target`` that also occur in ``rows``.
 
     A few rows are sent to the target's tasks, so its keys are not shuffled; many rows meet the
@@ -94,7 +123,7 @@ def matching_keys(target: DataFrame, rows: DataFrame, on: Sequence[str]) -> Data
     """
     on = list(on)
     wanted = rows.select(*on)
-    if is_small(wanted):
+    if is_small(wanted) if small is None else small:
         return target.select(*on).join(distinct_hinted(wanted, True), on, "left_semi").distinct()
     return target.select(*on).distinct().join(wanted.distinct(), on, "left_semi")
 
@@ -103,8 +132,8 @@ def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
     on: Sequence[str],
-    salts: int = SALTS,
     measure: bool = False,
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Left join ``df`` to a lookup that is unique on ``on``.
 
@@ -113,15 +142,17 @@ def lookup_join(
     on = list(on)
     if measure and is_small(lookup):
         return df.join(F.broadcast(lookup), on, "left")
-    hot = hot_hashes(df, on)
-    is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
     types = dict(df.dtypes)  # both sides must hash alike
     typed = lookup.withColumns({k: F.col(k).cast(types[k]) for k in on})
-    return _salted_join(df, typed, on, is_hot, is_hot, salts)
+    return _salted_join(df, typed, on, hot_keys(df, on, task_rows))
 
 
 def counted_join(
-    df: DataFrame, flagged: DataFrame, counts: DataFrame, on: Sequence[str], salts: int = SALTS
+    df: DataFrame,
+    flagged: DataFrame,
+    counts: DataFrame,
+    on: Sequence[str],
+    task_rows: int | None = None,
 ) -> DataFrame:
     """Left join ``df`` to ``flagged``, given ``counts`` with the rows ``__n`` of each heavy key.
 
@@ -129,26 +160,22 @@ def counted_join(
     sides, so what is broadcast does not grow with the width of the keys.
     """
     on = list(on)
+    task_rows = task_rows or TASK_ROWS
     hot = (
-        counts.filter(F.col("__n") >= HOT_KEY_ROWS)
-        .select(F.xxhash64(*on).alias("__hash"), "__n")
-        .orderBy(F.col("__n").desc(), "__hash")
-        .limit(MAX_HOT_KEYS)
-        .select("__hash", F.lit(True).alias("__hot"))
-        .distinct()
+        counts.filter(F.col("__n") >= task_rows)
+        .groupBy(F.xxhash64(*on).alias("__hash"))
+        .agg(F.max("__n").alias("__n"))
+        .select("__hash", _salts("__n", task_rows).alias("__salts"))
     )
-    hot = F.broadcast(hot)
-    left = df.withColumn("__hash", F.xxhash64(*on)).join(hot, "__hash", "left")
-    right = flagged.withColumn("__hash", F.xxhash64(*on)).join(hot, "__hash", "left")
-    is_hot = F.col("__hot")
-    return _salted_join(left, right.drop("__hash"), on, is_hot, is_hot, salts)
+    return _salted_join(df, flagged, on, hot)
 
 
 def class_join(
-    df: DataFrame, classes: DataFrame, on: Sequence[str], salts: int = SALTS, how: str = "left"
+    df: DataFrame, classes: DataFrame, on: Sequence[str], salts: int | None = None, how: str = "left"
 ) -> DataFrame:
-    """Join ``df`` to a lookup with one row per class, each class spread over ``salts``."""
+    """Join ``df`` to a lookup with one row per class, each class spread over ``salts`` partitions."""
     on = list(on)
+    salts = salts or _width(df)
     right = classes.withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )

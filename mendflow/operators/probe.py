@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions.transforms import chain
-from mendflow.operators.lookup import distinct_hinted
+from mendflow.operators.lookup import distinct_hinted, lookup_join
 from mendflow.sources.playbooks import STANDARD_TRANSFORMS
 
 
@@ -19,23 +19,21 @@ def probe_scores(
     column: str,
     join_keys: Sequence[str],
     normalizations: Sequence[str] = ("trim", "lower_trim", "upper_trim"),
-    sample_rows: int = S.PROBE_SAMPLE_ROWS,
+    sample_rows: int | None = None,
 ) -> DataFrame:
-    """Per signature and normalisation: sampled rows that joined and rows that then agree.
+    """Per signature and normalisation: rows that joined and rows that then agree.
 
-    The sample is the first ``sample_rows`` rows of each signature by ``row_id``. The other table
-    is cut to the sampled keys before it is made unique, so its shuffle carries little.
+    Every row counts unless ``sample_rows`` asks for the first so many of each signature by
+    ``row_id``. The other table is cut to the rows' keys before it is made unique, so its shuffle
+    carries little.
     """
     keys = [f"__j{i}" for i in range(len(join_keys))]
     named = [F.col(k).cast("string").alias(j) for j, k in zip(keys, join_keys)]
     value = F.col(column).cast("string")
     first = Window.partitionBy("signature").orderBy("row_id")
-    sample = (
-        df.select("signature", "row_id", *named, value.alias("__left"))
-        .withColumn("__rn", F.row_number().over(first))
-        .filter(F.col("__rn") <= sample_rows)
-        .drop("__rn")
-    )
+    sample = df.select("signature", "row_id", *named, value.alias("__left"))
+    if sample_rows is not None:
+        sample = sample.withColumn("__rn", F.row_number().over(first)).filter(F.col("__rn") <= sample_rows).drop("__rn")
     wanted = distinct_hinted(sample.select(*keys))
     partner = (
         other.select(*named, value.alias("__right"))
@@ -50,7 +48,8 @@ def probe_scores(
         return F.count_if(left.eqNullSafe(right)).alias(f"__n_{name}")
 
     totals = (
-        sample.join(partner, keys)
+        lookup_join(sample, partner.withColumn("__found", F.lit(True)), keys)
+        .filter("__found")
         .groupBy("signature")
         .agg(F.count("*").alias("sampled"), *[agrees(n) for n in used])
     )
@@ -73,7 +72,7 @@ def cross_table_probe(
     column: str,
     join_keys: Sequence[str],
     normalizations: Sequence[str] = ("trim", "lower_trim", "upper_trim"),
-    sample_rows: int = S.PROBE_SAMPLE_ROWS,
+    sample_rows: int | None = None,
     threshold: float = S.PROBE_THRESHOLD,
 ) -> DataFrame:
     """Proposals per signature: the first normalisation that resolves enough, else escalate.

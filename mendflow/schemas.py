@@ -38,7 +38,6 @@ CONFIDENCE_THRESHOLD = 0.8
 MAX_RETRIES = 3
 SAMPLE_SIZE = 15
 PASSING_EXAMPLES = 5
-PROBE_SAMPLE_ROWS = 200
 PROBE_THRESHOLD = 0.9
 
 RESULT_DDL = "array<struct<name:string,message:string,function:string,columns:array<string>>>"

@@ -352,20 +352,13 @@ def passing_examples(spark, sf):
     )
 
 
-REPLIES = """SELECT CAST(c_custkey AS {TEXT}) AS signature, CASE
-  WHEN c_custkey % 5 = 0 THEN concat('no idea about ', c_name)
-  WHEN c_custkey % 5 = 1 THEN concat('Sure, {"decision": "', c_name)
-  ELSE concat('Here: ```{"decision":"', CASE WHEN c_acctbal < 0 THEN 'reject' ELSE 'fix' END,
-    '","fixes":[{"column":"code","transform":"left_pad","length":', CAST(c_nationkey AS {TEXT}),
-    '}],"confidence":', CASE WHEN c_nationkey > 12 THEN '0.5' ELSE '0.9' END, ',"reasoning":"', c_mktsegment, '"}``` ok') END AS reply
-FROM customer"""
-X.REPLIES = REPLIES
-
-
-@query("WITH r AS (" + X._fill(REPLIES, "duckdb") + """), j AS (SELECT signature, CASE WHEN reply LIKE 'Here%'
-  THEN regexp_extract(reply, '\\{.*\\}', 0)::JSON END AS j FROM r)
+@query("WITH r AS (" + X.sql("REPLIES") + """), j AS (SELECT signature, reply, CASE
+  WHEN reply LIKE 'Here%' THEN regexp_extract(reply, '\\{"decision.*\\}', 0)::JSON
+  WHEN reply LIKE 'As %' THEN {'decision': 'fix', 'fixes': [{'length': '7'}], 'confidence': 0.85,
+    'reasoning': concat('None of ', regexp_extract(reply, 'None of ([^"]*)"', 1))}::JSON END AS j FROM r)
 SELECT signature, coalesce(json_extract_string(j, '$.decision'), 'escalate') AS decision,
-  coalesce('column=code;length=' || json_extract_string(j, '$.fixes[0].length') || ';transform=left_pad', '') AS fixes,
+  coalesce('column=code;length=' || json_extract_string(j, '$.fixes[0].length')
+    || CASE WHEN reply LIKE 'As %' THEN ';pad=<null>' ELSE '' END || ';transform=left_pad', '') AS fixes,
   coalesce(json_extract_string(j, '$.confidence')::DOUBLE, 0) AS confidence,
   coalesce(json_extract_string(j, '$.reasoning'), 'agent_unavailable: no decision in reply') AS reasoning FROM j""")
 def parse_replies(spark, sf):
@@ -480,8 +473,8 @@ def confidence_gate(spark, sf):
 
 
 CHAINS = {
-    0: "trim({v})", 1: "trim(lower({v}))", 2: "trim(upper({v}))", 3: "regexp_replace({v}, '^[A-Za-z]+', '')",
-    4: "lpad(regexp_replace({v}, '^[A-Za-z]+', ''), 5, '0')",
+    0: "trim({v})", 1: "trim(lower({v}))", 2: "trim(upper({v}))", 3: "regexp_replace({v}, '^[^0-9]+', '')",
+    4: "lpad(regexp_replace({v}, '^[^0-9]+', ''), 5, '0')",
 }
 
 
@@ -500,7 +493,8 @@ def _score_sql() -> str:
              "amount_not_positive": "f_amount"}
     parts = []
     for rule, (column, text, test) in value_tests.items():
-        for k, chain in CHAINS.items():
+        # The last two are derived from the fixed-length pattern and are tried for its rule only.
+        for k, chain in CHAINS.items() if column == "code" else list(CHAINS.items())[:3]:
             fixed = chain.format(v=text)
             fails = test.format(x=f"({fixed})")
             parts.append(
@@ -552,7 +546,7 @@ def search_transforms(spark, sf):
 PROBE = """mism AS (SELECT d.order_id, d.priority, o.o_orderpriority AS expected, d.status AS signature,
     sha256(CAST(d.order_id AS VARCHAR)) AS row_id
   FROM dirty d JOIN orders o ON d.order_id = o.o_orderkey WHERE d.priority <> o.o_orderpriority OR d.status <> o.o_orderstatus),
-sampled AS (SELECT * FROM mism QUALIFY row_number() OVER (PARTITION BY signature ORDER BY row_id) <= 200)"""
+sampled AS (SELECT * FROM mism)"""
 
 
 def _probe_input(spark, sf):

@@ -22,12 +22,14 @@ DIALECT = {
         "upd": "timestampadd(DAY, CAST(o_orderkey % 7 AS INT), o_orderdate)",
         "sha": "sha2({0}, 256)",
         "check": "`check`",
+        "quote": "\"'\"",
     },
     "duckdb": {
         "text": "VARCHAR",
         "upd": "o_orderdate + to_days(CAST(o_orderkey % 7 AS INTEGER))",
         "sha": "sha256({0})",
         "check": '"check"',
+        "quote": "chr(39)",
     },
 }
 
@@ -38,6 +40,7 @@ def _fill(sql: str, dialect: str) -> str:
         sql.replace("{TEXT}", d["text"])
         .replace("{UPD}", d["upd"])
         .replace("{CHECK}", d["check"])
+        .replace("{QUOTE}", d["quote"])
         .replace("{ROWID}", d["sha"].format(f"CAST(o_orderkey AS {d['text']})"))
     )
 
@@ -128,6 +131,26 @@ CUSTOMERS = """SELECT c_custkey AS customer_key, c_mktsegment AS segment, c_acct
 FROM customer"""
 
 
+REPLIES = """SELECT CAST(c_custkey AS {TEXT}) AS signature, CASE
+  WHEN c_custkey % 5 = 0 THEN concat('no idea about ', c_name)
+  WHEN c_custkey % 5 = 1 THEN concat('Sure, {"decision": "', c_name)
+  WHEN c_custkey % 5 = 2 THEN replace(concat('As {x} in {"note": {}} and do not {: {~decision~: ~fix~, ~fixes~: [',
+    '{~column~: ~code~, ~transform~: ~left_pad~, ~length~: 7, ~pad~: None}], ~confidence~: 0.85, ',
+    '~final~: True, ~reasoning~: "None of ', repeat(c_name, 300), '"} {"decision": "reject"}'), '~', {QUOTE})
+  ELSE concat('Here: ```{"decision":"', CASE WHEN c_acctbal < 0 THEN 'reject' ELSE 'fix' END,
+    '","fixes":[{"column":"code","transform":"left_pad","length":', CAST(c_nationkey AS {TEXT}),
+    '}],"confidence":', CASE WHEN c_nationkey > 12 THEN '0.5' ELSE '0.9' END, ',"reasoning":"', c_mktsegment, '"}``` ok') END AS reply
+FROM customer"""
+
+
+TARGETS = """SELECT o_custkey AS grp,
+  CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 300000 THEN 'main.silver.other'
+       WHEN o_orderpriority <> '5-LOW' OR o_totalprice > 200000 THEN 'main.silver.orders' END AS _data_source,
+  CASE WHEN o_custkey % 5 = 0 THEN '' WHEN o_custkey % 7 = 0 AND o_orderstatus = 'P' THEN 'id2'
+       ELSE 'customer_id, order_id' END AS _row_id_keys,
+  o_totalprice > 480000 AS _is_cross_table FROM orders"""
+
+
 # --- rules, playbook and proposals of the derived order table ---------------------------------
 
 FQN = "main.quarantine.silver_orders"

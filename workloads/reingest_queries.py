@@ -19,16 +19,7 @@ QUEUE = f"WITH queue AS ({X.sql('QUEUE')})\n"
 
 # --- merge target ---------------------------------------------------------------------------------
 
-TARGETS = """SELECT o_custkey AS grp,
-  CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice > 300000 THEN 'main.silver.other'
-       WHEN o_orderpriority <> '5-LOW' OR o_totalprice > 200000 THEN 'main.silver.orders' END AS _data_source,
-  CASE WHEN o_custkey % 5 = 0 THEN '' WHEN o_custkey % 7 = 0 AND o_orderstatus = 'P' THEN 'id2'
-       ELSE 'customer_id, order_id' END AS _row_id_keys,
-  o_totalprice > 480000 AS _is_cross_table FROM orders"""
-X.TARGETS = TARGETS
-
-
-@query(f"""WITH t AS ({TARGETS}), g AS (SELECT grp, count(DISTINCT _data_source) AS ns, min(_data_source) AS s,
+@query(f"""WITH t AS ({X.sql('TARGETS')}), g AS (SELECT grp, count(DISTINCT _data_source) AS ns, min(_data_source) AS s,
   count(DISTINCT _row_id_keys) AS nk, min(_row_id_keys) AS k, bool_or(_is_cross_table) AS c FROM t GROUP BY grp)
 SELECT grp, CASE WHEN c THEN 'cross_table_quarantine' WHEN ns = 0 THEN 'no_data_source'
   WHEN ns > 1 THEN 'ambiguous_data_source' WHEN nk <> 1 OR k = '' THEN 'no_business_key_for_merge' END AS reason,
@@ -272,23 +263,25 @@ def summary_metrics(spark, sf):
 
 RESOLVED = """resolved AS (SELECT DISTINCT row_id FROM queue WHERE quarantine_fqn = 'main.quarantine.silver_low'
   AND status IN ('reingested', 'resolved_duplicate', 'resolved_removed', 'rejected'))"""
+WAITING = f"""waiting AS (SELECT DISTINCT row_id FROM queue WHERE quarantine_fqn = 'main.quarantine.silver_low'
+  AND status <> 'pending')"""
 QUEUE_CTE = f"queue AS ({X.sql('QUEUE')})"
 LOW = "main.quarantine.silver_low"
 
 
-@query(X.prelude(QUEUE_CTE, RESOLVED) + """SELECT (SELECT count(*) FROM latest) AS quarantined_rows,
+@query(X.prelude(QUEUE_CTE, RESOLVED, WAITING) + """SELECT (SELECT count(*) FROM latest) AS quarantined_rows,
   (SELECT count(*) FROM resolved) AS already_resolved,
-  (SELECT count(*) FROM latest WHERE row_id NOT IN (SELECT row_id FROM resolved)) AS pending_rows""")
+  (SELECT count(*) FROM latest WHERE row_id NOT IN (SELECT row_id FROM waiting)) AS pending_rows""")
 def remaining_work(spark, sf):
     return metrics.remaining_work(X.latest(spark, sf), X.frame(spark, sf, "QUEUE"), LOW)
 
 
 DRY_ROUTED = ROUTED.replace(
-    "FROM latest)", "FROM latest WHERE row_id NOT IN (SELECT row_id FROM resolved))"
+    "FROM latest)", "FROM latest WHERE row_id NOT IN (SELECT row_id FROM waiting))"
 )
 
 
-@query(X.prelude(QUEUE_CTE, RESOLVED, DRY_ROUTED, PATCHED) + f"""SELECT 'run5' AS run_id, '{LOW}' AS quarantine_fqn,
+@query(X.prelude(QUEUE_CTE, RESOLVED, WAITING, DRY_ROUTED, PATCHED) + f"""SELECT 'run5' AS run_id, '{LOW}' AS quarantine_fqn,
   'main.silver.orders' AS silver_fqn, (SELECT count(*) FROM latest) AS quarantined_rows,
   (SELECT count(*) FROM resolved) AS already_resolved, (SELECT count(*) FROM routed) AS pending_rows,
   (SELECT count(*) FROM patched) AS playbook_keep_or_patch,

@@ -208,10 +208,15 @@ def row_id_hash(spark, sf):
 
 
 @query("""SELECT l_orderkey, l_linenumber, sha256(concat_ws(chr(31), l_orderkey, l_partkey, l_suppkey,
-  l_linenumber, l_returnflag, l_linestatus)) AS row_id, '' AS row_id_keys FROM lineitem""")
+  l_linenumber, CAST(l_quantity AS DECIMAL(18, 2)), CAST(l_extendedprice AS DECIMAL(18, 2)),
+  CAST(l_discount AS DECIMAL(18, 2)), CAST(l_tax AS DECIMAL(18, 2)), l_returnflag, l_linestatus,
+  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))) AS row_id, '' AS row_id_keys FROM lineitem""")
 def row_id_whole_row(spark, sf):
+    """Every column counts; numbers and times get a text form that does not depend on the engine."""
     df = X.table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        *[F.col(c).cast("decimal(18,2)").alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        "l_returnflag", "l_linestatus", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"),
     )
     return identity.with_row_id(df).select(
         "l_orderkey", "l_linenumber", F.col("_row_id").alias("row_id"), F.col("_row_id_keys").alias("row_id_keys")
