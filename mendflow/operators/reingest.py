@@ -10,7 +10,14 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.operators.checks import Check, Evaluated, parse_checks
-from mendflow.operators.lookup import any_null, distinct_hinted, is_small, lookup_join, matching_keys
+from mendflow.operators.lookup import (
+    any_null,
+    counted_join,
+    distinct_hinted,
+    is_small,
+    lookup_join,
+    matching_keys,
+)
 
 
 def reingest_target(quarantine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -46,11 +53,22 @@ def reingest_target(quarantine: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _typed(text: Column, kind: str) -> Column:
+    """Text as a column's type; null if it does not read as one."""
+    if kind == "variant":
+        return F.try_parse_json(text)
+    if kind.startswith(("array<", "map<", "struct<")):
+        opening = "[" if kind.startswith("array<") else "{"
+        whole = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith(opening)
+        return F.when(whole, F.from_json(text, kind))
+    return text.try_cast(kind)
+
+
 def apply_patch(df: DataFrame, fix_col: str = "proposed_fix", columns: Sequence[str] | None = None) -> DataFrame:
     """Patch each data column named in the fix, cast to its own type.
 
-    Presence of the key decides, so an explicit null patches. A value that does not cast keeps
-    the old value and sets ``_cast_failed``.
+    Presence of the key decides, so an explicit null patches. Arrays, maps and structs are read as
+    JSON. A value that does not cast keeps the old value and sets ``_cast_failed``.
     """
     types = dict(df.dtypes)
     columns = list(columns or [c for c in S.data_columns(df) if c != fix_col])
@@ -58,7 +76,7 @@ def apply_patch(df: DataFrame, fix_col: str = "proposed_fix", columns: Sequence[
     for c in columns:
         named = F.coalesce(F.map_contains_key(fix_col, F.lit(c)), F.lit(False))
         text = F.element_at(fix_col, F.lit(c))
-        value = text.try_cast(types[c])
+        value = _typed(text, types[c])
         broken = named & text.isNotNull() & value.isNull()
         patched[c] = F.when(named & ~broken, value).otherwise(F.col(c))
         failed = failed | broken
@@ -169,9 +187,66 @@ def null_key_rows(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
     return staged.filter(any_null(keys))
 
 
-def merge_split(staged: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+def repeated_key_rows(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Staged rows that share their business key with another one; no one of them can be merged."""
+    return mark_repeated_keys(staged, keys).filter("__repeated").drop("__repeated")
+
+
+def mark_repeated_keys(staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``__repeated``: whether another row has the same business key. Keys with a null do not repeat.
+
+    Only repeated keys are joined back, spread if they are heavy.
+    """
+    counts = (
+        staged.filter(~any_null(keys)).groupBy(*keys).agg(F.count("*").alias("__n")).filter("__n > 1")
+    )
+    flagged = counts.select(*keys, F.lit(True).alias("__repeated"))
+    return counted_join(staged, flagged, counts, keys).withColumn(
+        "__repeated", F.coalesce("__repeated", F.lit(False))
+    )
+
+
+def judge(checked: DataFrame, keys: Sequence[str], merged: str) -> DataFrame:
+    """Re-validated rows with their ``outcome``: ``fail``, ``not_mergeable`` or ``merged``.
+
+    A passing row escalates when its business key has a null, or when a fix gave it the key of
+    another passing row. The real run and the dry run both decide with this.
+    """
+    passing = checked.filter("passed").select("row_id", *keys)
+    marks = mark_repeated_keys(passing, keys).select("row_id", "__repeated")
+    outcome = (
+        F.when(~F.col("passed"), "fail")
+        .when(any_null(keys) | F.coalesce("__repeated", F.lit(False)), "not_mergeable")
+        .otherwise(merged)
+    )
+    return checked.join(marks, "row_id", "left").withColumn("outcome", outcome).drop("__repeated")
+
+
+def touched_partitions(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], parts: Sequence[str]
+) -> DataFrame:
+    """Distinct partitions of the target that a merge changes: where rows are, and where they go."""
+    known = distinct_hinted(staged.select(*keys))
+    old = target.join(known, list(keys), "left_semi").select(*parts)
+    types = dict(target.dtypes)
+    new = staged.select(
+        *[(F.col(p) if p in staged.columns else F.lit(None)).cast(types[p]).alias(p) for p in parts]
+    )
+    return old.unionByName(new).distinct()
+
+
+def in_partitions(target: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """The target's rows in the given partitions; Spark prunes the scan by them."""
+    marks = touched.select(*[F.col(p).alias(f"__p_{p}") for p in parts])
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__p_{p}")) for p in parts])
+    return target.join(marks, same, "left_semi")
+
+
+def merge_split(
+    staged: DataFrame, target: DataFrame, keys: Sequence[str], small: bool | None = None
+) -> DataFrame:
     """Staged rows with ``merge_action`` ``insert`` or ``update``."""
-    known = matching_keys(target, staged, keys).withColumn("__known", F.lit(True))
+    known = matching_keys(target, staged, keys, small).withColumn("__known", F.lit(True))
     return (
         staged.join(known, list(keys), "left")
         .withColumn("merge_action", F.when(F.col("__known"), "update").otherwise("insert"))
@@ -190,19 +265,23 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> D
     """The target after the merge: matched rows take the staged values, others are added.
 
     Target columns the staged rows lack stay as they are. Target rows may repeat a key or hold
-    nulls in it; staged rows are unique per key. Without non-key columns only inserts happen.
+    nulls in it; staged rows are unique per key, which ``judge`` sees to. Without non-key columns
+    only inserts happen. The staged rows are measured once; a small batch is sent to the target's
+    tasks, which then is not shuffled.
     """
     keys = list(keys)
     common = [c for c in staged.columns if c in target.columns]
     values = [c for c in common if c not in keys]
     source = staged.select(*common).filter(~any_null(keys))
+    small = is_small(source)
     kept = target
     if values:
         renamed = source.select(
             *keys, *[F.col(c).alias(f"__new_{c}") for c in values], F.lit(True).alias("__hit")
         )
         types = dict(target.dtypes)
-        kept = lookup_join(target, renamed, keys, measure=True).select(
+        joined = target.join(F.broadcast(renamed), keys, "left") if small else lookup_join(target, renamed, keys)
+        kept = joined.select(
             *[
                 F.when(F.col("__hit"), F.col(f"__new_{c}").cast(types[c])).otherwise(F.col(c)).alias(c)
                 if c in values
@@ -210,7 +289,7 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> D
                 for c in target.columns
             ]
         )
-    added = source.join(matching_keys(target, source, keys), keys, "left_anti")
+    added = source.join(matching_keys(target, source, keys, small), keys, "left_anti")
     aligned = added.select(
         *[
             (F.col(f.name) if f.name in common else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -2,17 +2,25 @@
 
 ``catalog.schema.table`` is used as it is when that catalog is configured in Spark; otherwise it
 maps to the table ``catalog__schema.table`` of the session catalog. Parquet tables are replaced
-by writing a new folder and pointing the table at it, so a table may be read while its next
-version is written and a failed job leaves the old version in place.
+by writing a new folder beside the current one and pointing the table, or its partitions, at it.
+So a table may be read while its next version is written, and a failed job leaves the old version
+in place. The version before the current one is kept for readers that have begun; older ones go.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
+from datetime import datetime, timezone
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mendflow import schemas as S
 from mendflow.functions.transforms import quoted
@@ -63,8 +71,47 @@ def _root(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
+_VERSION = re.compile(r"/v-\d{17}-[0-9a-f]{8}$")
+
+
+def _detail(spark: SparkSession, fqn: str, what: str) -> str | None:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(spark, fqn)}")
+    row = described.filter(F.col("col_name") == what).select("data_type").head()
+    return row[0] if row else None
+
+
+def _versions_folder(spark: SparkSession, fqn: str) -> str:
+    """Where the versions of a table are: beside its current folder, or in the warehouse."""
+    if not exists(spark, fqn):
+        return f"{_root(spark)}/{fqn.replace('.', '/')}"
+    now = _detail(spark, fqn, "Location").rstrip("/")
+    return _VERSION.sub("", now) if _VERSION.search(now) else f"{now}__versions"
+
+
 def _new_folder(spark: SparkSession, fqn: str) -> str:
-    return f"{_root(spark)}/{fqn.replace('.', '/')}/{uuid.uuid4().hex}"
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")[:17]
+    return f"{_versions_folder(spark, fqn)}/v-{stamp}-{uuid.uuid4().hex[:8]}"
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_old_versions(spark: SparkSession, fqn: str, keep: int = 1) -> None:
+    """Delete the versions of an unpartitioned table that are older than the ``keep`` before the current."""
+    folder = _versions_folder(spark, fqn)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted(f"{folder}/{f.getPath().getName()}" for f in files.listStatus(path)) if files.exists(path) else []
+    found = [f for f in found if _VERSION.search(f)]
+    for old in found[: max(0, len(found) - 1 - keep)]:
+        delete_folder(spark, old)
+
+
+def partition_columns(spark: SparkSession, fqn: str) -> list[str]:
+    listed = spark.catalog.listColumns(table_name(spark, fqn).replace("`", ""))
+    return [c.name for c in listed if c.isPartition]
 
 
 def _create(spark: SparkSession, fqn: str, df: DataFrame, folder: str) -> None:
@@ -96,22 +143,85 @@ def append(df: DataFrame, fqn: str) -> None:
     aligned.write.insertInto(name.replace("`", ""))
 
 
-def replace(df: DataFrame, fqn: str) -> None:
-    """Write the next version to a new folder, then point the table at it."""
+def replace(df: DataFrame, fqn: str, keep_versions: int = 1) -> None:
+    """Write the next version to a new folder, then point the table at it.
+
+    Partitions, properties and the place of the table stay. Columns may be added; any other
+    change of columns makes a new table that takes the old one's name once it is there.
+    """
     spark = df.sparkSession
     folder = _new_folder(spark, fqn)
     if not exists(spark, fqn):
         _create(spark, fqn, df, folder)
         return
     name = table_name(spark, fqn)
-    df.write.parquet(folder)
-    if spark.read.table(name).dtypes == df.dtypes:
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(name.replace("`", ""))
-        return
-    # A changed schema needs a new entry; the files of an external table are kept.
+    parts = partition_columns(spark, fqn)
+    table = spark.read.table(name)
+    writer = df.select(*[c for c in df.columns if c not in parts], *parts).write
+    (writer.partitionBy(*parts) if parts else writer).parquet(folder)
+    old = dict(table.dtypes)
+    if all(dict(df.dtypes).get(c) == t for c, t in old.items()):
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in old)
+        if added:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
+        if parts:
+            _repoint(spark, fqn, folder, df.schema, parts, table.select(*parts).distinct())
+        else:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+    else:
+        _rename_in(spark, name, folder, df, parts)
+    spark.catalog.refreshTable(name.replace("`", ""))
+    if not parts:
+        drop_old_versions(spark, fqn, keep_versions)
+
+
+def replace_partitions(df: DataFrame, fqn: str, touched: DataFrame) -> None:
+    """Replace only the partitions listed in ``touched``; ``df`` has all of their next rows."""
+    spark = df.sparkSession
+    parts = partition_columns(spark, fqn)
+    folder = _new_folder(spark, fqn)
+    df.select(*[c for c in df.columns if c not in parts], *parts).write.partitionBy(*parts).parquet(folder)
+    _repoint(spark, fqn, folder, df.schema, parts, touched.select(*parts).distinct())
+    spark.catalog.refreshTable(table_name(spark, fqn).replace("`", ""))
+
+
+def _spec(parts: list[str], row) -> str:
+    values = ["NULL" if row[p] is None else quoted(row[p]) for p in parts]
+    return "PARTITION (" + ", ".join(f"`{p}` = {v}" for p, v in zip(parts, values, strict=True)) + ")"
+
+
+def _repoint(
+    spark: SparkSession, fqn: str, folder: str, schema: StructType, parts: list[str], replaced: DataFrame
+) -> None:
+    """Point partitions at what was written; replaced ones without new rows go. One row a partition is read."""
+    name = table_name(spark, fqn)
+    before = {tuple(r) for r in replaced.collect()}
+    written = spark.read.schema(schema).parquet(folder)
+    files = written.select(*parts, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("__folder"))
+    now = files.distinct().collect()
+    for row in now:
+        spec = _spec(parts, row)
+        place = quoted(unquote(row["__folder"]))
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {spec} LOCATION {place}")
+        spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {place}")
+    for gone in before - {tuple(r[p] for p in parts) for r in now}:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {_spec(parts, dict(zip(parts, gone, strict=True)))}")
+
+
+def _rename_in(spark: SparkSession, name: str, folder: str, df: DataFrame, parts: list[str]) -> None:
+    """A table over ``folder`` with the old one's properties, made first and renamed last."""
+    after = f"{name[:-1]}__next`"
+    properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    spark.sql(f"DROP TABLE IF EXISTS {after}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    by = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+    own = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items() if not k.startswith("transient"))
+    kept = f"TBLPROPERTIES ({own})" if own else ""
+    spark.sql(f"CREATE TABLE {after} ({columns}) USING parquet {by} LOCATION {quoted(folder)} {kept}")
+    if parts:
+        spark.sql(f"MSCK REPAIR TABLE {after}")
     spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name.replace("`", ""), path=folder, source="parquet")
+    spark.sql(f"ALTER TABLE {after} RENAME TO {name}")
 
 
 def replace_slice(df: DataFrame, fqn: str, column: str, value: str) -> None:
@@ -139,27 +249,64 @@ def replace_slice(df: DataFrame, fqn: str, column: str, value: str) -> None:
 
 def supports_merge(spark: SparkSession, fqn: str) -> bool:
     """True when the table's format executes ``MERGE INTO`` itself."""
-    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table_name(spark, fqn)}")
-    provider = detail.filter("col_name = 'Provider'").select("data_type").head()
-    return provider is not None and provider[0].lower() in ("delta", "iceberg", "hudi")
+    return (_detail(spark, fqn, "Provider") or "").lower() in ("delta", "iceberg", "hudi")
+
+
+def refs_for(
+    spark: SparkSession, checks: Sequence[Mapping], given: Mapping[str, DataFrame] | None = None
+) -> dict[str, DataFrame]:
+    """Frames of the tables that the checks compare with; those not given are read by name."""
+    found = dict(given or {})
+    for check in checks:
+        args = (check.get("check") or check).get("arguments") or {}
+        for name in (args.get("ref_table"), args.get("other_table")):
+            if name and name not in found:
+                found[name] = read(spark, name)
+    return found
+
+
+# --- scratch --------------------------------------------------------------------------------------
+
+_made: ContextVar[list[str] | None] = ContextVar("scratch_folders", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the scratch folders that were made inside it."""
+    folders: list[str] = []
+    token = _made.set(folders)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for folder in folders:
+            delete_folder(spark, folder)
 
 
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder all executors reach: under ``spark.checkpoint.dir``, else the warehouse.
 
-    Only local mode without either setting uses a temporary folder of the machine.
+    Only local mode without that setting uses a temporary folder of the machine. A cluster whose
+    warehouse is on the machines' own disks must name a shared folder in the setting.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="mendflow-")
-    return f"{(shared or _root(spark)).rstrip('/')}/mendflow-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        root = tempfile.mkdtemp(prefix="mendflow-")
+    if root is None:
+        root = _root(spark)
+        if urlsplit(root).scheme in ("", "file"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
+    folder = f"{root.rstrip('/')}/mendflow-{uuid.uuid4().hex}"
+    if _made.get() is not None:
+        _made.get().append(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows written once to the shared scratch folder and read back from there.
 
     The files survive lost executors. Unlike a row checkpoint, later steps read only the columns
-    they use and the optimizer knows the size.
+    they use and the optimizer knows the size. Inside ``scratch`` the files go at its end.
     """
     spark = df.sparkSession
     folder = scratch_folder(spark)
