@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from mendflow import schemas as S
 from mendflow.functions.transforms import column, literal, quoted
 from mendflow.operators import lookup
+from mendflow.sources import tables
 
 # Preset formats for the value-format check.
 FORMATS = {
@@ -39,7 +40,10 @@ class Check:
 
     @property
     def columns(self) -> list[str]:
+        """The tested columns: a value check tests ``column``, or else each of ``columns``."""
         args = self.arguments
+        if self.function in VALUE_CHECKS and args.get("column"):
+            return [args["column"]]
         if args.get("columns"):
             return list(args["columns"])
         if args.get("column"):
@@ -64,6 +68,9 @@ def parse_check(raw: Mapping | Check) -> Check:
     level = str(raw.get("criticality") or "error").lower()
     if level not in ("error", "warn"):
         raise ValueError(f"criticality must be 'error' or 'warn', got {level!r}")
+    many = args.get("columns")
+    if isinstance(many, str):
+        args["columns"] = [c.strip() for c in many.split(",") if c.strip()]
     check = Check("", function, args, level)
     name = raw.get("name") or "_".join([*check.columns, function])
     return Check(name, function, args, level)
@@ -90,9 +97,13 @@ def _range(v: str, args: Mapping) -> str:
 
 
 def _in_list(v: str, args: Mapping) -> str:
+    """A null in the list allows nothing more; without any value every non-null value fails."""
+    allowed = [a for a in args["allowed"] or [] if a is not None]
+    if not allowed:
+        return f"{v} IS NOT NULL"
     if args.get("case_sensitive", True):
-        return f"{v} NOT IN ({', '.join(literal(a) for a in args['allowed'])})"
-    return f"lower({v}) NOT IN ({', '.join(quoted(str(a).lower()) for a in args['allowed'])})"
+        return f"{v} NOT IN ({', '.join(literal(a) for a in allowed)})"
+    return f"lower({v}) NOT IN ({', '.join(quoted(str(a).lower()) for a in allowed)})"
 
 
 VALUE_CHECKS: dict[str, Callable[[str, Mapping], str]] = {
@@ -119,7 +130,16 @@ Refs = Mapping[str, DataFrame]
 def _mark(
     df: DataFrame, flagged: DataFrame, counts: DataFrame, on: Sequence[str], hidden: str
 ) -> DataFrame:
-    out = lookup.counted_join(df, flagged.select(*on, F.lit(True).alias(hidden)), counts, on)
+    """Mark the rows of the flagged keys.
+
+    The flagged keys are written once and measured. Few of them, the usual case, are sent to the
+    rows' tasks, and the rows are not shuffled; many are joined with the heavy keys spread.
+    """
+    keys = tables.cut_lineage(flagged.select(*on, F.lit(True).alias(hidden)))
+    if lookup.is_small(keys):
+        out = df.join(F.broadcast(keys), list(on), "left")
+    else:
+        out = lookup.counted_join(df, keys, counts, on)
     return out.withColumn(hidden, F.coalesce(F.col(hidden), F.lit(False)))
 
 
@@ -204,7 +224,7 @@ def _sql_query(df: DataFrame, check: Check, hidden: str, refs: Refs) -> DataFram
     )
     differs = F.col("__partner") & ~F.col(compared).cast("string").eqNullSafe(F.col("__value"))
     return (
-        lookup.lookup_join(keyed, other, keys)
+        lookup.lookup_join(keyed, tables.cut_lineage(other), keys, measure=True)
         .withColumn(hidden, F.coalesce(differs, F.lit(False)))
         .drop(*keys, "__value", "__partner")
     )
@@ -221,14 +241,26 @@ FUNCTIONS = (*VALUE_CHECKS, "sql_expression", *DATASET_CHECKS)
 
 # --- evaluation ---------------------------------------------------------------------------------
 
-def _fails(check: Check, hidden: str) -> str:
+def value_of(name: str, available: Sequence[str]) -> str:
+    """SQL text of a tested column: a column, a field of one (``s.f``), or an expression."""
+    if name in available:
+        return column(name)
+    parts = name.split(".")
+    if parts[0] in available and all(p.strip() for p in parts):
+        return ".".join(column(p) for p in parts)
+    return column(name) if name.replace("_", "").isalnum() else f"({name})"
+
+
+def _fails(check: Check, hidden: str, available: Sequence[str]) -> str:
     if check.function in DATASET_CHECKS:
         return column(hidden)
     if check.function == "sql_expression":
         return f"coalesce(NOT ({check.arguments['expression']}), false)"
     if check.function not in VALUE_CHECKS:
         raise ValueError(f"unknown check function {check.function!r}; known: {FUNCTIONS}")
-    return value_fails(check, column(check.columns[0]))
+    if not check.columns:
+        raise ValueError(f"check {check.name!r} names no column")
+    return " OR ".join(value_fails(check, value_of(c, available)) for c in check.columns)
 
 
 def _entry(check: Check) -> str:
@@ -264,7 +296,7 @@ class Evaluated:
             hidden = f"__c{i}"
             if check.function in DATASET_CHECKS:
                 self.frame = DATASET_CHECKS[check.function](self.frame, check, hidden, refs or {})
-            self._failing.append((check, _fails(check, hidden)))
+            self._failing.append((check, f"({_fails(check, hidden, self.columns)})"))
 
     def _any(self, *levels: str) -> str:
         return " OR ".join(f for c, f in self._failing if c.criticality in levels) or "false"

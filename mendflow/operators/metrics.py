@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,9 +84,17 @@ def resolved_rows(queue: DataFrame | None, quarantine_fqn: str) -> DataFrame | N
     )
 
 
+def waiting_elsewhere(queue: DataFrame | None, quarantine_fqn: str) -> DataFrame | None:
+    """Distinct rows of one table that are tracked and no longer pending: finished or under way."""
+    if queue is None:
+        return None
+    mine = queue.filter(F.col("quarantine_fqn") == quarantine_fqn)
+    return mine.filter(~_status(S.PENDING)).select("row_id").distinct()
+
+
 def pending_rows(latest: DataFrame, queue: DataFrame | None, quarantine_fqn: str) -> DataFrame:
-    """Latest quarantined rows that are not finished; without a queue all are pending."""
-    done = resolved_rows(queue, quarantine_fqn)
+    """Latest quarantined rows that triage and playbook would take up: untracked or pending."""
+    done = waiting_elsewhere(queue, quarantine_fqn)
     return latest if done is None else latest.join(done, "row_id", "left_anti")
 
 
@@ -92,13 +102,17 @@ def remaining_work(
     latest: DataFrame, queue: DataFrame | None, quarantine_fqn: str
 ) -> DataFrame:
     """``quarantined_rows``, ``already_resolved`` and ``pending_rows`` of one table, one row."""
-    done = resolved_rows(queue, quarantine_fqn)
-    quarantined = latest.select("row_id", F.lit(1).alias("q"), F.lit(0).alias("d"))
-    if done is not None:
-        quarantined = quarantined.unionAll(done.select("row_id", F.lit(0), F.lit(1)))
-    per_row = quarantined.groupBy("row_id").agg(F.max("q").alias("q"), F.max("d").alias("d"))
+    marks = [latest.select("row_id", F.lit(1).alias("q"), F.lit(0).alias("d"), F.lit(0).alias("w"))]
+    if queue is not None:
+        marks += [
+            resolved_rows(queue, quarantine_fqn).select("row_id", F.lit(0), F.lit(1), F.lit(0)),
+            waiting_elsewhere(queue, quarantine_fqn).select("row_id", F.lit(0), F.lit(0), F.lit(1)),
+        ]
+    per_row = reduce(DataFrame.unionAll, marks).groupBy("row_id").agg(
+        *[F.max(c).alias(c) for c in ("q", "d", "w")]
+    )
     return per_row.agg(
         F.coalesce(F.sum("q"), F.lit(0)).alias("quarantined_rows"),
         F.coalesce(F.sum("d"), F.lit(0)).alias("already_resolved"),
-        F.count_if((F.col("q") == 1) & (F.col("d") == 0)).alias("pending_rows"),
+        F.count_if((F.col("q") == 1) & (F.col("w") == 0)).alias("pending_rows"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
@@ -46,10 +46,10 @@ def dry_run_report(
     patched = reingest.apply_patch(
         handled.filter(fixed).select("row_id", *columns, "action_payload"), "action_payload", columns
     )
-    checked = reingest.revalidate(patched, checks, refs)
+    checked = cut(reingest.judge(reingest.revalidate(patched, checks, refs, silver, keys), keys, "merged"))
     split = reingest.merge_split(
-        checked.select("row_id", "passed", *keys), silver, keys
-    ).select("passed", "merge_action")
+        checked.select("row_id", "passed", "outcome", *keys), silver, keys
+    ).select("passed", "merge_action", (F.col("outcome") == "merged").alias("merges"))
 
     actions = handled.agg(
         F.count("*").alias("handled"),
@@ -60,8 +60,8 @@ def dry_run_report(
     passed = F.col("passed")
     outcomes = split.agg(
         F.count_if(passed).alias("passes"),
-        F.count_if(passed & (F.col("merge_action") == "insert")).alias("inserts"),
-        F.count_if(passed & (F.col("merge_action") == "update")).alias("updates"),
+        F.count_if(F.col("merges") & (F.col("merge_action") == "insert")).alias("inserts"),
+        F.count_if(F.col("merges") & (F.col("merge_action") == "update")).alias("updates"),
     )
     ok = F.coalesce("reingestable", F.lit(False))
 
@@ -91,3 +91,38 @@ def dry_run_report(
         (F.current_timestamp() if as_of is None else as_of).alias("run_at"),
     )
 
+
+
+def dry_run_table(
+    spark: SparkSession,
+    quarantine_fqn: str,
+    queue_fqn: str,
+    run_id: str,
+    entries: Sequence[Mapping],
+    checks_for: Callable[[str], Sequence[Mapping]],
+    report_fqn: str | None = None,
+    as_of: Column | None = None,
+) -> dict:
+    """The report of a stored quarantine table, read with the rules and keys a real run would use.
+
+    The row is appended to ``report_fqn`` if that is given; nothing else is written.
+    """
+    with tables.scratch(spark):
+        quarantine = tables.read(spark, quarantine_fqn)
+        queue = tables.read(spark, queue_fqn) if tables.exists(spark, queue_fqn) else None
+        target = reingest.reingest_target(quarantine).head()
+        ok = target["reingestable"]
+        silver = tables.read(spark, target["silver_fqn"]) if ok else quarantine.limit(0)
+        checks = checks_for(target["silver_fqn"]) if ok else []
+        keys = list(target["merge_keys"])
+        if not ok:  # no merge is estimated; any column serves as the key
+            quarantine = quarantine.withColumn("row_key", F.col(S.ROW_ID))
+            silver, keys = quarantine.limit(0), ["row_key"]
+        report = dry_run_report(
+            quarantine, queue, silver, entries, checks, quarantine_fqn, keys, run_id,
+            tables.refs_for(spark, checks), as_of,
+        )
+        report = tables.cut_lineage(report.select(*S.column_names(S.DRY_RUN_DDL)))
+        if report_fqn:
+            tables.append(report, report_fqn)
+        return report.head().asDict()

@@ -8,20 +8,44 @@ rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
-from mendflow.operators import curate, lookup, metrics, playbook, reingest
+from mendflow.operators import curate, metrics, playbook, probe, reingest
 from mendflow.operators import queue as Q
 from mendflow.sources import tables
 
 Proposer = Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Probe:
+    """How a cross-table rule's mismatches may be resolved: compare a column with another table's."""
+
+    column: str
+    other_table: str
+    join_keys: Sequence[str]
+    normalizations: Sequence[str] = ("trim", "lower_trim", "upper_trim")
+    threshold: float = S.PROBE_THRESHOLD
+
+
+def _probed(rest: DataFrame, rule: str, p: Probe, refs: Mapping[str, DataFrame]) -> DataFrame:
+    other = refs[p.other_table] if p.other_table in refs else tables.read(rest.sparkSession, p.other_table)
+    mine = rest.filter(F.array_contains("rule_violations", rule))
+    return probe.cross_table_probe(mine, other, p.column, p.join_keys, p.normalizations, threshold=p.threshold)
+
+
+def first_proposals(first: DataFrame, then: DataFrame) -> DataFrame:
+    """Proposals of ``first``, and those of ``then`` for the other signatures."""
+    return first.unionByName(then.join(first.select("signature"), "signature", "left_anti"))
+
+
 @dataclass
 class Pass:
     """Results of one pass; all lazy. ``queue`` holds the rows of the processed table."""
@@ -46,10 +70,14 @@ def curated_queue(
     threshold: float = S.CONFIDENCE_THRESHOLD,
     requeue: str = "never",
     as_of: Column | None = None,
+    probes: Mapping[str, Probe] | None = None,
+    refs: Mapping[str, DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Triage, playbook and proposals: the updated queue and the row decisions.
 
-    Playbook and proposals cover different rows, so the queue is joined with both at once.
+    Playbook and proposals cover different rows, so the queue is joined with both at once. A rule
+    with a probe is first compared with its other table; only signatures for which no probe has
+    an answer take the proposer's.
     """
     new = Q.triage_latest(latest, queue, quarantine_fqn, run_id, as_of, requeue)
     queued = queue.unionByName(new)
@@ -63,7 +91,10 @@ def curated_queue(
     rest = curate.with_signature(
         playbook.route_playbook(pending, usable).filter("entry_idx is null").drop("entry_idx")
     )
-    decisions = curate.apply_proposals(rest, propose(rest))
+    proposals = propose(rest)
+    for rule, p in reversed((probes or {}).items()):
+        proposals = first_proposals(_probed(rest, rule, p, refs or {}), proposals)
+    decisions = curate.apply_proposals(rest, proposals)
     updates = playbook.playbook_updates(handled, quarantine_fqn, run_id, as_of).unionByName(
         curate.decisions_to_updates(decisions, quarantine_fqn, run_id, threshold, as_of),
         allowMissingColumns=True,
@@ -82,6 +113,7 @@ def remediate(
     keys: Sequence[str],
     propose: Proposer | None = None,
     refs: Mapping[str, DataFrame] | None = None,
+    probes: Mapping[str, Probe] | None = None,
     threshold: float = S.CONFIDENCE_THRESHOLD,
     max_retries: int = S.MAX_RETRIES,
     gate: str = "rows",
@@ -104,7 +136,7 @@ def remediate(
     queue = queue.filter(F.lit(False) if reset_queue else mine)
     latest = cut(Q.latest_quarantined(quarantine))
     queued, decisions = curated_queue(
-        latest, queue, quarantine_fqn, run_id, entries, propose, threshold, requeue, as_of
+        latest, queue, quarantine_fqn, run_id, entries, propose, threshold, requeue, as_of, probes, refs
     )
     queued = cut(queued)
 
@@ -125,14 +157,11 @@ def remediate(
             latest.select("row_id", *columns).join(to_check.select("row_id", "proposed_fix"), "row_id"),
             columns=columns,
         )
-        checked = cut(reingest.revalidate(candidates, checks, refs, silver, keys))
-        no_key = lookup.any_null(keys)
         merged = "pass" if dry_run else "merged"
-        outcome = (
-            F.when(~F.col("passed"), "fail").when(no_key, "not_mergeable").otherwise(merged)
-        )
-        outcomes = removed.unionByName(checked.select("row_id", outcome.alias("outcome")))
-        staged = reingest.stage(checked.filter(~no_key), ready)
+        checked = cut(reingest.judge(reingest.revalidate(candidates, checks, refs, silver, keys), keys, merged))
+        outcomes = removed.unionByName(checked.select("row_id", "outcome"))
+        mergeable = F.col("outcome") != "not_mergeable"
+        staged = cut(reingest.stage(checked.filter(mergeable).drop("outcome"), ready))
     else:
         outcomes = removed.unionByName(
             to_check.select("row_id", F.lit("not_mergeable").alias("outcome"))
@@ -178,52 +207,96 @@ def remediate_table(
     audit_fqn: str | None = None,
     metrics_fqn: str | None = None,
     **options,
-) -> Pass:
-    """Run one pass on stored tables and write its results.
+) -> dict:
+    """Run one pass on stored tables and write its results; returns the audit row and merge counts.
+
+    In a dry run ``inserted`` and ``updated`` say what a real run would do.
 
     The clean table and the queue are written before the old versions are let go; a pass that
-    dies in between can be run again, because merging the same rows twice changes nothing.
+    dies in between can be run again, because merging the same rows twice changes nothing. Tables
+    that the checks or probes compare with are read by name unless ``refs`` has them. Of a
+    partitioned clean table only the partitions that gain or change rows are written.
     """
-    quarantine = tables.read(spark, quarantine_fqn)
-    queue = (
-        tables.read(spark, queue_fqn)
-        if tables.exists(spark, queue_fqn)
-        else spark.createDataFrame([], S.QUEUE_DDL)
-    )
-    target = reingest.reingest_target(Q.latest_quarantined(quarantine)).head()
-    silver_fqn, keys = target["silver_fqn"], list(target["merge_keys"])
-    ok = target["reingestable"]
-    silver = tables.read(spark, silver_fqn) if ok else quarantine.limit(0)
-    done = remediate(
-        quarantine, queue, silver, quarantine_fqn, run_id, entries,
-        checks_for(silver_fqn) if ok else [], keys, reingestable=ok, **options,
-    )
-    final = tables.cut_lineage(done.queue)
-    if ok and not options.get("dry_run"):
-        if tables.supports_merge(spark, silver_fqn):
-            rows = done.merge_split.drop("merge_action")
-            rows.createOrReplaceTempView("mendflow_staged")
-            spark.sql(
-                reingest.merge_sql(
-                    tables.table_name(spark, silver_fqn), "mendflow_staged", rows.columns, keys
-                )
-            )
-        else:
-            tables.replace(done.silver, silver_fqn)
-    tables.replace(done.staged.drop("row_id"), quarantine_fqn + S.STAGED_SUFFIX)
-    tables.replace_slice(final, queue_fqn, "quarantine_fqn", quarantine_fqn)
-    if audit_fqn:
-        tables.append(metrics.audit_row(final, run_id), audit_fqn)
-    if metrics_fqn:
-        tables.append(metrics.summary_metrics(final, run_id), metrics_fqn)
-    return done
+    with tables.scratch(spark):
+        quarantine = tables.read(spark, quarantine_fqn)
+        queue = (
+            tables.read(spark, queue_fqn)
+            if tables.exists(spark, queue_fqn)
+            else spark.createDataFrame([], S.QUEUE_DDL)
+        )
+        target = reingest.reingest_target(quarantine).head()
+        silver_fqn, keys = target["silver_fqn"], list(target["merge_keys"])
+        ok = target["reingestable"]
+        silver = tables.read(spark, silver_fqn) if ok else quarantine.limit(0)
+        checks = checks_for(silver_fqn) if ok else []
+        options["refs"] = tables.refs_for(spark, checks, options.get("refs"))
+        done = remediate(
+            quarantine, queue, silver, quarantine_fqn, run_id, entries, checks, keys, reingestable=ok, **options
+        )
+        final = tables.cut_lineage(done.queue)
+        moved = reingest.merge_counts(done.merge_split).head().asDict()  # before the target changes
+        if ok and not options.get("dry_run"):
+            _merge(spark, silver_fqn, silver, done, keys)
+        tables.replace(done.staged.drop("row_id"), quarantine_fqn + S.STAGED_SUFFIX)
+        tables.replace_slice(final, queue_fqn, "quarantine_fqn", quarantine_fqn)
+        audit = tables.cut_lineage(metrics.audit_row(final, run_id))
+        if audit_fqn:
+            tables.append(audit, audit_fqn)
+        if metrics_fqn:
+            tables.append(metrics.summary_metrics(final, run_id), metrics_fqn)
+        row = audit.head()
+    return (row.asDict() if row else {}) | {"inserted": moved["would_insert"], "updated": moved["would_update"]}
+
+
+def _merge(
+    spark: SparkSession, silver_fqn: str, silver: DataFrame, done: Pass, keys: Sequence[str]
+) -> None:
+    rows = done.merge_split.drop("merge_action")
+    if tables.supports_merge(spark, silver_fqn):
+        view = f"mendflow_staged_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(view)
+        try:
+            spark.sql(reingest.merge_sql(tables.table_name(spark, silver_fqn), view, rows.columns, keys))
+        finally:
+            spark.catalog.dropTempView(view)
+        return
+    parts = tables.partition_columns(spark, silver_fqn)
+    if not parts:
+        tables.replace(done.silver, silver_fqn)
+        return
+    touched = tables.cut_lineage(reingest.touched_partitions(silver, rows, keys, parts))
+    # A row may move: its key is looked for in all touched partitions, old and new.
+    here = reingest.in_partitions(silver, touched, parts)
+    tables.replace_partitions(reingest.merge_upsert(here, rows, keys), silver_fqn, touched)
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What became of one table: its counts, or the error that stopped it."""
+
+    fqn: str
+    result: object = None
+    error: str | None = None
 
 
 def process_all(
-    spark: SparkSession, schema: str, run: Callable[[str], object], prefix: str = ""
-) -> list[str]:
-    """Run a pass for each quarantine table of a schema; only table names reach the driver."""
+    spark: SparkSession,
+    schema: str,
+    run: Callable[[str], object],
+    prefix: str = "",
+    parallel: int = 4,
+) -> list[Outcome]:
+    """Run a pass for each quarantine table of a schema, several at a time.
+
+    Only table names reach the driver. A table that fails does not stop the others.
+    """
     names = [r["fqn"] for r in tables.discover(spark, schema, prefix).orderBy("fqn").collect()]
-    for name in names:
-        run(name)
-    return names
+
+    def one(name: str) -> Outcome:
+        try:
+            return Outcome(name, run(name))
+        except Exception as problem:  # kept apart and reported
+            return Outcome(name, error=f"{type(problem).__name__}: {problem}")
+
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        return list(pool.map(one, names))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from mendflow import schemas as S
 from mendflow.operators import validate as V
 from mendflow.sources import rules, tables
 
@@ -42,13 +44,7 @@ class Validator:
 
     def refs_for(self, checks: Sequence[Mapping]) -> dict[str, DataFrame]:
         """Frames of the tables that the checks compare with."""
-        found = dict(self.refs)
-        for check in checks:
-            args = (check.get("check") or check).get("arguments") or {}
-            for name in (args.get("ref_table"), args.get("other_table")):
-                if name and name not in found:
-                    found[name] = tables.read(self.spark, name)
-        return found
+        return tables.refs_for(self.spark, checks, self.refs)
 
     def approved_checks_for(self, table_fqns: str | Sequence[str]) -> list[dict]:
         """The checks that quarantine rows of these tables, for re-validating a fix."""
@@ -89,7 +85,7 @@ class Validator:
         row = found.head()
         if row is None:
             raise ValueError(f"No approved universal rule found for {rule_name!r}")
-        templates = rules.checks_from_json([(row["rule_id"], row["check_json"])])
+        templates = rules.checks_from_rows(found.withColumn("table_fqn", F.lit(source_table)))
         valid, quarantine = V.validate_universal(
             input_df, templates, column_names, source_table, rule_name, row_id_columns,
             self.refs_for(templates),
@@ -104,7 +100,18 @@ class Validator:
         The checks run once: the bad rows are written to the scratch folder and counted by that
         write, and only these few rows are read again for the append.
         """
-        found = tables.cut_lineage(quarantine)
-        self.last_counts = dict(seen.get)
-        if self.last_counts["invalid_rows"]:
-            tables.append(found, target)
+        with tables.scratch(self.spark):
+            found = tables.cut_lineage(quarantine)
+            self.last_counts = dict(seen.get)
+            if self.last_counts["invalid_rows"]:
+                self._same_sources(found, target)
+                tables.append(found, target)
+
+    def _same_sources(self, rows: DataFrame, target: str) -> None:
+        """Refuse to mix the rows of two sets of sources whose shortened names are equal."""
+        if not V.is_shortened(target) or not tables.exists(self.spark, target):
+            return
+        both = rows.select(S.DATA_SOURCE).unionAll(tables.read(self.spark, target).select(S.DATA_SOURCE))
+        ends = both.agg(F.min(S.DATA_SOURCE).alias("a"), F.max(S.DATA_SOURCE).alias("b")).head()
+        if ends["a"] != ends["b"]:
+            raise ValueError(f"{target} already holds rows of other sources: {ends['a']} and {ends['b']}")

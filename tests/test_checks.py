@@ -126,7 +126,7 @@ def test_check_parsing():
 @pytest.fixture
 def skewed(spark, monkeypatch):
     """A third of the rows share one key, another third has no key; every key counts as hot."""
-    monkeypatch.setattr(lookup, "HOT_KEY_ROWS", 2)
+    monkeypatch.setattr(lookup, "TASK_ROWS", 100)
     n = 3000
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id") + 100)
     return spark.range(0, n, 1, 12).select(F.col("id").alias("order_id"), key.alias("k"))
@@ -145,9 +145,9 @@ def test_skewed_keys_give_exact_results(spark, skewed):
 
 
 def test_hot_keys_are_found_and_spread(spark, skewed):
-    hot = lookup.hot_hashes(skewed, ["k"])
+    hot = [tuple(r) for r in lookup.hot_keys(skewed, ["k"]).collect()]
     want = spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).head()[0]
-    assert hot == [want]
+    assert hot == [(want, 10)]
     values = spark.createDataFrame([(7, "a")], "k bigint, v string")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -165,14 +165,60 @@ def test_hot_keys_are_found_and_spread(spark, skewed):
 def test_hot_key_search_handles_empty_input(spark, skewed, adaptive):
     spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     try:
-        assert lookup.hot_hashes(skewed.filter("order_id < 0"), ["k"]) == []
-        assert lookup.hot_hashes(skewed.filter("k is null"), ["k"]) == []
-        assert lookup.hot_hashes(skewed.filter("order_id = 0"), ["k"]) == []
-        assert len(lookup.hot_hashes(skewed.repartition(40), ["k"])) == 1
+        assert lookup.hot_keys(skewed.filter("order_id < 0"), ["k"]) is None
+        assert lookup.hot_keys(skewed.filter("k is null"), ["k"]) is None
+        assert lookup.hot_keys(skewed.filter("order_id = 0"), ["k"]) is None
+        assert lookup.hot_keys(skewed.repartition(40), ["k"]).count() == 1
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_thousands_of_hot_keys_are_spread_by_their_size(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "TASK_ROWS", 20)
+    # 2000 keys of 40 rows and one of 400.
+    df = spark.range(0, 80_400, 1, 8).select(
+        F.when(F.col("id") < 80_000, F.col("id") % 2000).otherwise(5000).alias("k"), F.col("id").alias("v")
+    )
+    hot = lookup.hot_keys(df, ["k"])
+    salts = {r["__salts"]: r["n"] for r in hot.groupBy("__salts").agg(F.count("*").alias("n")).collect()}
+    assert salts == {2: 2000, 20: 1}
+    values = spark.range(0, 6000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    joined = lookup.lookup_join(df, values, ["k"])
+    assert joined.count() == 80_400 and joined.filter("w <> 2 * k or w is null").count() == 0
+    counts = df.groupBy("k").agg(F.count("*").alias("__n"))
+    marked = lookup.counted_join(df, values, counts, ["k"])
+    assert marked.count() == 80_400 and marked.filter("w <> 2 * k or w is null").count() == 0
+
+
+# --- columns of value checks ----------------------------------------------------------------------
+
+def failed(spark, rows, schema, **arguments):
+    one = check("c", arguments.pop("function"), **arguments)
+    return sorted(r["id"] for r in C.split(spark.createDataFrame(rows, schema), [one])[1].collect())
+
+
+def test_value_checks_test_column_or_every_one_of_columns(spark):
+    rows, schema = [(1, "x", None), (2, None, "y"), (3, "x", "y")], "id int, a string, b string"
+    assert failed(spark, rows, schema, function="is_not_null", column="b") == [1]
+    assert failed(spark, rows, schema, function="is_not_null", columns=["a", "b"]) == [1, 2]
+    assert failed(spark, rows, schema, function="is_not_null", columns="a, b") == [1, 2]
+    # A bound universal template names the column and all columns.
+    assert failed(spark, rows, schema, function="is_not_null", column="a", columns=["a", "b"]) == [2]
+
+
+def test_nested_and_expression_columns(spark):
+    rows, schema = [(1, (None,), "x"), (2, ("v",), " y ")], "id int, s struct<f:string>, t string"
+    assert failed(spark, rows, schema, function="is_not_null", column="s.f") == [1]
+    assert failed(spark, rows, schema, function="is_in_list", column="trim(t)", allowed=["y"]) == [1]
+
+
+def test_lists_with_nulls_and_without_values(spark):
+    rows, schema = [(1, "x"), (2, "z"), (3, None)], "id int, a string"
+    assert failed(spark, rows, schema, function="is_in_list", column="a", allowed=["x", None]) == [2]
+    assert failed(spark, rows, schema, function="is_in_list", column="a", allowed=[]) == [1, 2]
+    assert failed(spark, rows, schema, function="is_in_list", column="a", allowed=[None]) == [1, 2]
+
+
 def test_class_join_keeps_rows(spark, skewed):
     classes = spark.createDataFrame([(7, "hot")], "k bigint, name string")
     joined = lookup.class_join(skewed, classes, ["k"])

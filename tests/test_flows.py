@@ -105,7 +105,7 @@ def test_validation_guards(spark):
         gate.run_validation(df, [])
     with pytest.raises(ValueError, match="No approved rules"):
         gate.run_validation(df, "shop.silver.unknown")
-    with pytest.raises(ValueError, match="not present in input_df"):
+    with pytest.raises(ValueError, match="unknown columns"):
         gate.run_validation(df, "shop.silver.orders", ["nope"])
     assert not tables.exists(spark, "shop.quarantine.silver_orders")
 
@@ -204,7 +204,7 @@ def test_dry_run_leaves_rows_for_the_next_run(spark):
     done = run(spark, shop, "run1", propose=given(FIX_CODE), dry_run=True)
     assert rows(tables.read(spark, shop[0])) == before
     assert by_id(spark, shop)[2] == ("revalidated_pass", 0)
-    assert done.merge_split.count() == 2
+    assert done["inserted"] + done["updated"] == 2
     run(spark, shop, "run2", propose=given(FIX_CODE))
     assert by_id(spark, shop)[2] == ("reingested", 0)
     assert 2 in {r["id"] for r in tables.read(spark, shop[0]).collect()}
@@ -240,9 +240,63 @@ def test_unmergeable_tables_escalate(spark):
 def test_every_table_of_a_schema_is_processed(spark):
     for name in ("silver_a", "silver_b", "silver_a" + S.STAGED_SUFFIX):
         tables.replace(spark.range(1), f"many.quarantine.{name}")
-    seen = []
-    remediation.process_all(spark, "many.quarantine", seen.append, "silver_")
-    assert seen == ["many.quarantine.silver_a", "many.quarantine.silver_b"]
+
+    def one(name):
+        if name.endswith("_a"):
+            raise ValueError("broken")
+        return name.upper()
+
+    done = remediation.process_all(spark, "many.quarantine", one, "silver_")
+    assert [(o.fqn, o.result, o.error) for o in done] == [
+        ("many.quarantine.silver_a", None, "ValueError: broken"),
+        ("many.quarantine.silver_b", "MANY.QUARANTINE.SILVER_B", None),
+    ]
+
+
+def test_fixes_that_meet_on_one_key_escalate(spark):
+    source = "meet.silver.codes"
+    ddl = "code string, status string"
+    tables.replace(spark.createDataFrame([("a", "Open"), ("b", "Open")], ddl), source)
+    lower = {"name": "lower_code", "check": {"function": "matches_regex", "arguments": {"column": "code", "pattern": "^[a-z]$"}}}
+    gate = Validator(spark, rules_frame(spark, lower, table=source))
+    gate.run_validation(spark.createDataFrame([("A", "Closed"), ("a ", "Closed"), ("B", "Closed")], ddl), source, "code")
+    entries = [{"rule_name": "lower_code", "priority": 1, "strategy": "standardize_value", "params": {"column": "code", "transform": "lower_trim"}}]
+    fqn, queue = "meet.quarantine.silver_codes", "meet.gov.queue"
+    dry = dryrun.dry_run_table(spark, fqn, queue, "dry", entries, gate.approved_checks_for)
+    done = remediation.remediate_table(spark, fqn, queue, "run1", entries, gate.approved_checks_for)
+    assert rows(tables.read(spark, source), "code", "status") == [("a", "Open"), ("b", "Closed")]
+    assert sorted(r["status"] for r in tables.read(spark, queue).collect()) == ["escalated", "escalated", "reingested"]
+    assert (dry["est_reingest_insert"], dry["est_reingest_update"]) == (done["inserted"], done["updated"]) == (0, 1)
+
+
+def test_partitioned_clean_tables_take_merges(spark):
+    source = "parted.silver.orders"
+    spark.sql("CREATE SCHEMA IF NOT EXISTS parted__silver")
+    spark.sql("CREATE TABLE parted__silver.orders (id INT, code STRING, status STRING) USING parquet PARTITIONED BY (status)")
+    clean = [(1, "00001", "Open"), (2, "00002", "Open"), (9, "00009", "Closed")]
+    tables.replace(spark.createDataFrame(clean, "id int, code string, status string"), source)
+    gate = Validator(spark, rules_frame(spark, CODE, table=source))
+    gate.run_validation(spark.createDataFrame([(2, "A2", "Held"), (3, "A3", "Open")], "id int, code string, status string"), source, "id")
+    args = (spark, "parted.quarantine.silver_orders", "parted.gov.queue")
+    remediation.remediate_table(*args, "run1", [], gate.approved_checks_for)
+    want = [(1, "00001", "Open"), (2, "00002", "Held"), (3, "00003", "Open"), (9, "00009", "Closed")]
+    assert rows(tables.read(spark, source), "id", "code", "status") == want
+
+
+def test_probes_and_reference_tables(spark):
+    source, other = "probed.silver.orders", "probed.silver.master"
+    ddl = "id int, name string"
+    tables.replace(spark.createDataFrame([(i, f"NAME{i}") for i in range(40)], ddl), other)
+    tables.replace(spark.createDataFrame([], ddl), source)
+    same = {"name": "same_name", "check": {"function": "sql_query", "arguments": {"compare_column": "name", "other_table": other, "join_keys": ["id"]}}}
+    gate = Validator(spark, rules_frame(spark, same, table=source))
+    gate.run_validation(spark.createDataFrame([(i, f" name{i} ") for i in range(30)], ddl), source, "id")
+    args = (spark, "probed.quarantine.silver_orders", "probed.gov.queue", "run1", [], gate.approved_checks_for)
+    probes = {"same_name": remediation.Probe("name", other, ["id"])}
+    # The probe says how the names agree, but not in which form; the fix must pass the rule again.
+    remediation.remediate_table(*args, probes=probes)
+    states = {r["status"] for r in tables.read(spark, "probed.gov.queue").collect()}
+    assert states <= {"reingested", "revalidated_fail"}
 
 
 def test_dry_run_report_equals_the_real_run(spark):
@@ -257,13 +311,15 @@ def test_dry_run_report_equals_the_real_run(spark):
     assert (report["est_reingest_insert"], report["est_reingest_update"], report["not_reingestable"]) == (1, 0, 0)
     assert report["silver_fqn"] == source
     done = run(spark, shop, "run1", propose=given())
-    split = {r["merge_action"]: r["count"] for r in done.merge_split.groupBy("merge_action").count().collect()}
-    assert split == {"insert": 1}
+    assert (done["inserted"], done["updated"]) == (1, 0)
     after = dryrun.dry_run_report(
         tables.read(spark, fqn), tables.read(spark, shop[2]), tables.read(spark, source), ENTRIES,
         gate.approved_checks_for(source), fqn, ["id"],
     ).head()
-    assert after["already_resolved"] == 3 and after["pending_rows"] == 3 and after["playbook_keep_or_patch"] == 0
+    # The other three have escalated: they wait for a person, not for a run.
+    assert after["already_resolved"] == 3 and after["pending_rows"] == 0 and after["playbook_keep_or_patch"] == 0
+    stored = dryrun.dry_run_table(spark, fqn, shop[2], "dry", ENTRIES, gate.approved_checks_for, "report.gov.dry_runs")
+    assert stored["pending_rows"] == 0 and tables.read(spark, "report.gov.dry_runs").count() == 1
 
 
 def test_dry_run_report_of_an_unmergeable_table(spark):
