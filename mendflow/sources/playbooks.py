@@ -160,21 +160,30 @@ def lint_entries(entries_df: DataFrame, columns_df: DataFrame | None = None) ->
     )
 
 
-def validate_playbook(entries_df: DataFrame, source: DataFrame) -> DataFrame:
-    """Lint entries against one source table, including whether each ``where`` is a predicate."""
-    spark = source.sparkSession
-    rows = entries_df.select("dataset").distinct()
-    columns = rows.withColumn("column_name", F.explode(F.array(*[F.lit(c) for c in source.columns])))
-    found = lint_entries(entries_df, columns)
-    unparsed = []
-    for row in entries_df.filter(F.col("where").isNotNull()).collect():
+def validate_playbook(entries_df: DataFrame, source: DataFrame, dataset: str | None = None) -> DataFrame:
+    """Lint entries against one source table, including whether each ``where`` is a predicate.
+
+    Only entries of ``dataset`` count if it is given. Each different ``where`` text is analysed
+    once; nothing else of the entries comes to the driver.
+    """
+    entries = entries_df if dataset is None else entries_df.filter(F.col("dataset") == dataset)
+    columns = entries.select("dataset").distinct().withColumn(
+        "column_name", F.explode(F.array(*[F.lit(c) for c in source.columns]))
+    )
+    found = lint_entries(entries, columns)
+    bad = []
+    for (where,) in entries.filter(F.col("where").isNotNull()).select("where").distinct().collect():
         try:
-            kind = source.select(F.expr(row["where"]).alias("w")).dtypes[0][1]
+            kind = source.select(F.expr(where).alias("w")).dtypes[0][1]
         except (AnalysisException, ParseException):
             kind = "invalid"
         if kind != "boolean":
-            unparsed.append((row["dataset"], row["rule_name"], row["priority"], row["where"],
-                             row["strategy"], "where is not a boolean expression"))
-    if not unparsed:
+            bad.append(where)
+    if not bad:
         return found
-    return found.unionByName(spark.createDataFrame(unparsed, found.schema))
+    problem = F.lit("where is not a boolean expression").alias("problem")
+    return found.unionByName(
+        entries.filter(F.col("where").isin(bad)).select(
+            "dataset", "rule_name", "priority", "where", "strategy", problem
+        )
+    )

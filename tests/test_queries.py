@@ -13,7 +13,7 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.CORPUS_QUERIES)))
 def test_query_matches_sql(spark, con, name):
     problem, _ = oracle.compare(
         spark, con, SF_DIR, entry.queries()[name], entry.oracle_sql().get(name)
@@ -21,8 +21,9 @@ def test_query_matches_sql(spark, con, name):
     assert problem is None, problem
 
 
-def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+def test_every_query_has_sql_but_some_on_corpora():
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert without <= set(entry.CORPUS_QUERIES)
 
 
 def test_entry_runs(spark):
