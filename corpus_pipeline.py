@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from mendflow.llm import decontaminate, mixing, neardup, quality, token_output
+from mendflow.llm.ship import ship
 from mendflow.sources.tables import scratch_folder
 
 
@@ -16,11 +17,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class stays."""
+    ship(spark)
     return neardup.deduplicate(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    ship(spark)
     return decontaminate.remove_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -31,6 +34,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' place, length and checksum in the coded files, read back from them."""
+    ship(spark)
     folder = scratch_folder(spark)
     token_output.write_token_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
     return token_output.read_token_ids(spark, folder)

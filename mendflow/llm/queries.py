@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendflow.llm import chat, decontaminate, html_text, lines, mixing, neardup, quality, substrings, token_output, urls
+from mendflow.llm.ship import ship
 from mendflow.sources.tables import scratch_folder
 
 QUERIES = {}
@@ -15,10 +18,15 @@ ORACLES: dict[str, str] = {}
 
 def query(oracle: str | None = None):
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = shipped
         if oracle is not None:
             ORACLES[fn.__name__] = oracle
-        return fn
+        return shipped
 
     return register
 
