@@ -21,6 +21,7 @@ repeated documents; an empty table gives files without records. Other columns ar
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ END_ID = 0
 RECORD_IDS = 1 << 18
 #: Chunks whose ids a Python worker keeps.
 CACHE_CHUNKS = 1 << 19
+#: Chunks given to the tokenizer at once; its results are much larger than the ids in them.
+ENCODED_AT_ONCE = 4096
 
 _BLANK = words.SEPARATOR.copy()
 _BLANK[0x1C:0x20] = True
@@ -80,9 +83,13 @@ class Encoder:
         self.flat = np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(size.sum()))
+        sizes, ids = [], []
+        for i in range(0, len(texts), ENCODED_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(texts[i : i + ENCODED_AT_ONCE], add_special_tokens=False)
+            own = [e.ids for e in found]
+            sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
+            ids.append(np.fromiter(itertools.chain.from_iterable(own), np.uint32))
+        size, flat = np.concatenate(sizes), np.concatenate(ids)
         begin = len(self.flat) + np.cumsum(size) - size
         where = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, where, keys)
