@@ -51,18 +51,6 @@ QUEUE_DDL = (
     "run_id string, last_run_id string, created_at timestamp, updated_at timestamp"
 )
 
-AUDIT_DDL = (
-    "run_id string, quarantine_fqn string, triaged_count bigint, "
-    "playbook_resolved_count bigint, reingested_count bigint, escalated_count bigint, "
-    "reingest_rate double, run_at timestamp"
-)
-
-SUMMARY_DDL = (
-    "metric_source string, table_fqn string, run_id string, input_row_count bigint, "
-    "passed_row_count bigint, failed_row_count bigint, error_row_count bigint, "
-    "warning_row_count bigint, run_at timestamp"
-)
-
 DRY_RUN_DDL = (
     "run_id string, quarantine_fqn string, silver_fqn string, quarantined_rows bigint, "
     "already_resolved bigint, pending_rows bigint, playbook_keep_or_patch bigint, "

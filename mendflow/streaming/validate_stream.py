@@ -66,8 +66,3 @@ def validate_rows_stream(stream: DataFrame, checks: Sequence[Mapping]) -> DataFr
     if stateful:
         raise ValueError(f"checks need whole batches: {stateful}")
     return evaluate(stream, parsed)
-
-
-def distinct_across_batches(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
-    """First row per key across batches within the watermark, for streams that must be unique."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))

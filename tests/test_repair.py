@@ -321,16 +321,17 @@ def test_probe_takes_the_first_normalisation_that_resolves(spark):
 # --- patch, re-validate, merge ----------------------------------------------------------------------
 
 META_DDL = "_data_source string, _row_id_keys string, _is_cross_table boolean"
+BASKETS = ("shop.gold.baskets", "sku ,day,", False)
 TARGET_CASES = [
-    ([("main.silver.o", "order_id", False)] * 3, (True, "main.silver.o", ["order_id"], None)),
-    ([("main.silver.o", "customer_id, order_id", None)], (True, "main.silver.o", ["customer_id", "order_id"], None)),
-    ([("a,b", "id", True)], (False, "a,b", ["id"], "cross_table_quarantine")),
-    ([("o", "", False)], (False, "o", [], "no_business_key_for_merge")),
-    ([("o", None, False)], (False, "o", [], "no_business_key_for_merge")),
-    ([("o", "id", False), ("p", "id", False)], (False, None, ["id"], "ambiguous_data_source")),
-    ([(None, "id", False), ("", "id", False)], (False, None, ["id"], "no_data_source")),
-    ([("o", "id", False), ("o", "id2", False)], (False, "o", ["id"], "no_business_key_for_merge")),
-    ([], (False, None, [], "no_data_source")),
+    ([BASKETS], (True, "shop.gold.baskets", ["sku", "day"], None)),
+    ([BASKETS, ("", "sku ,day,", None), BASKETS], (True, "shop.gold.baskets", ["sku", "day"], None)),
+    ([BASKETS, ("shop.gold.baskets", "day,sku", False)], (False, "shop.gold.baskets", ["day", "sku"], "no_business_key_for_merge")),
+    ([("shop.gold.baskets", " , ", False)], (False, "shop.gold.baskets", [], "no_business_key_for_merge")),
+    ([(None, None, None)], (False, None, [], "no_data_source")),
+    # Reasons have an order: a cross-table row outranks two sources, which outrank a missing key.
+    ([BASKETS, ("shop.gold.lines", None, None), ("shop.gold.lines", "x", True)], (False, None, ["sku", "day"], "cross_table_quarantine")),
+    ([BASKETS, ("shop.gold.lines", None, None)], (False, None, ["sku", "day"], "ambiguous_data_source")),
+    ([("", "sku", False), BASKETS, ("shop.gold.baskets", None, False)], (False, "shop.gold.baskets", ["sku"], "no_business_key_for_merge")),
 ]
 
 
