@@ -36,6 +36,7 @@ WINDOW, MINIMISER = 35, 6
 BUCKETS = 16
 #: Documents in the sample of common runs, the least share of them that has one, and most runs.
 SAMPLE_DOCUMENTS, COMMON_SHARE, MOST_COMMON = 20_000, 0.002, 1 << 16
+SAMPLE_TASKS = 8
 
 _PLACE = np.uint64((1 << 28) - 1)
 
@@ -223,8 +224,8 @@ def _common_runs(docs: DataFrame, m: int) -> np.ndarray:
 
     share = min(1.0, SAMPLE_DOCUMENTS / max(docs.count(), 1))
     sample = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), "text", "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # The sample is bounded, and few tasks see more of what is common.
-    counted = sample.select("text").coalesce(8).mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
+    # All tasks read; the bounded sample then meets in few tasks, which see more of what is common.
+    counted = sample.select("text").repartition(SAMPLE_TASKS).mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
     least = max(4, int(COMMON_SHARE * share * docs.count()))
     rows = counted.filter(F.col("n") >= least).orderBy(F.col("n").desc(), "run").limit(MOST_COMMON).collect()
     return np.sort(np.array([r["run"] for r in rows], np.int64).view(np.uint64))
