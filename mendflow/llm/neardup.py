@@ -183,15 +183,20 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     return components(linked.unionByName(_verified(apart, texts)))
 
 
+def _rooted(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the text's ``key`` and the ``root`` of its class, for each document."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*text_key("text")).alias("key"))
+    found = similar_texts(docs).select(F.col("node").alias("key"), "root")
+    return cut_lineage(ids.join(found, "key", "left").withColumn("root", F.coalesce("root", "key")))
+
+
 def classify(docs: DataFrame) -> DataFrame:
     """A row for each document (``doc_id``, ``text``): its class, and the class's size.
 
     ``key`` is the text's key and ``root`` that of the class's text by which it is named.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*text_key("text")).alias("key"))
-    found = similar_texts(docs).select(F.col("node").alias("key"), "root")
-    rooted = ids.join(found, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    rooted = cut_lineage(rooted)
+    rooted = _rooted(docs)
+    # Written first, so that what is joined back is a plain table and a large class can be split.
     classes = cut_lineage(
         rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     )
@@ -201,7 +206,7 @@ def classify(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One document of each class, that of the least ``doc_id``, all columns as they were."""
     first = (
-        classify(docs)
+        _rooted(docs)
         .groupBy("root")
         .agg(F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("id"), "key")).alias("first"))
         .select("first.id", "first.key")
