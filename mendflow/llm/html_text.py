@@ -5,8 +5,8 @@ by URL path, and a page is paired with the neighbour in that order whose path sh
 prefix. Lines outside the article that both pages have, aligned by longest common subsequence,
 are the site's template and are deleted, as are those inside menus, headers, footers, sidebars,
 notices, adverts, forms and comments, known by element, role or class. Lines of an ``article`` or
-``main`` element are the page's own even if another page repeats them; a page that has such lines
-consists of them, any other page of what differencing leaves.
+``main`` element are the page's own even if another page repeats them. A page consists of these and
+of what differencing leaves outside, such as a lead above the article or more text below it.
 
 Positions in the order come from a range sort of one light row for each path, so no host is
 gathered; then pages meet their neighbour's line hashes by an equi-join whose hot keys Spark
@@ -183,10 +183,7 @@ def _outside(lines: list[tuple[str, int]]) -> tuple[list[int], list[int]]:
 def main_text(page: str, neighbour: Sequence[int]) -> str:
     """The text of a page, given the hashes of its neighbour's lines outside the article."""
     lines = lines_of(page)
-    if any(zone == ARTICLE for _, zone in lines):
-        gone = {i for i, (_, zone) in enumerate(lines) if zone != ARTICLE}
-    else:
-        gone = {i for i, (_, zone) in enumerate(lines) if zone == CHROME}
+    gone = {i for i, (_, zone) in enumerate(lines) if zone == CHROME}
     at, hashes = _outside(lines)
     gone |= {at[i] for i in common(hashes, list(neighbour))}
     return " ".join(text for i, (text, _) in enumerate(lines) if i not in gone)

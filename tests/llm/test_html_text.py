@@ -46,6 +46,17 @@ def test_copies_of_an_article_on_one_host_stay(spark):
     assert set(texts.values()) == {"the same article"}
 
 
+def test_differencing_decides_around_an_article(spark):
+    def page(i):
+        return (
+            f"<nav>m {i}</nav><div>Site</div><div>lead {i}</div><article><p>same words<p>text {i}</article>"
+            f"<div>more of {i}</div><div>Imprint</div>"
+        )
+
+    texts = got(spark, [(i, f"http://h/{i}", page(i)) for i in range(6)])
+    assert texts == {i: f"lead {i} same words text {i} more of {i}" for i in range(6)}
+
+
 def test_pages_meet_their_neighbours_whatever_the_partitions(spark):
     pages = [(i, f"http://h/{i:03d}", f"<div>own {i}</div><div>shared {i // 2}</div>") for i in range(40)]
     texts = got(spark, pages)
