@@ -1,10 +1,10 @@
 """Near-duplicate documents by ProbMinHash.
 
-The elements of a text are its runs of ``SHINGLE`` words, weighted by how often they occur. Each
-element is a Poisson process whose rate is its weight: its arrivals fall into random components of
+The elements of a text are its distinct runs of ``SHINGLE`` words, all of weight 1 however often
+they occur, since that is what the decision compares. Each element is a Poisson process whose rate is its weight: its arrivals fall into random components of
 the signature, and a component belongs to the element that arrives first. Arrivals end as soon as
 they are later than every component's first. Two signatures agree in a component with the texts'
-probability Jaccard similarity.
+probability Jaccard similarity, which for equal weights is the Jaccard similarity.
 
 Signatures are cut into bands; texts that share a band are candidates. A bucket of any size gives
 a number of pairs in proportion to its members: each is paired with the bucket's most connected
@@ -96,12 +96,12 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch, "text"):
             words = words_of(piece.column(2))
             owner, hashes = shingles(words)
-            _, one, count = distinct(owner, hashes)
+            one = distinct(owner, hashes)[1]
             own = np.flatnonzero(words.counts > 0)
             if not len(own):
                 continue
             place = np.cumsum(words.counts > 0) - 1
-            found = signatures(place[owner[one]], hashes[one], count.astype(float), len(own), BANDS * ROWS)
+            found = signatures(place[owner[one]], hashes[one], np.ones(len(one)), len(own), BANDS * ROWS)
             bands = band_hashes(found, BANDS).view(np.int64)
             lists = pa.ListArray.from_arrays(np.arange(len(own) + 1, dtype=np.int32) * BANDS, pa.array(bands.reshape(-1)))
             yield pa.RecordBatch.from_arrays(

@@ -78,6 +78,15 @@ def test_a_group_whose_members_are_near_their_origin_only(spark):
     assert got(df) == brute([r[:2] for r in rows])
 
 
+def test_copies_that_differ_by_a_much_repeated_line(spark):
+    rows = []
+    for i in range(12):
+        base = " ".join(X.some_words(200, 50 + i, 100_000))
+        line = " ".join(X.some_words(10, 90 + i, 100_000))
+        rows += [X.doc(2 * i, base), X.doc(2 * i + 1, base + f"\n{line}" * 200)]
+    assert got(spark.createDataFrame(rows, X.DOCS)) == brute([r[:2] for r in rows])
+
+
 def test_signatures_estimate_probability_jaccard():
     a, b = X.some_words(400, 21, 100_000), X.some_words(400, 22, 100_000)
     texts = [" ".join(a), " ".join(a[:300] + b[:100])]
