@@ -9,7 +9,9 @@ probability Jaccard similarity, which for equal weights is the Jaccard similarit
 Signatures are cut into bands; texts that share a band are candidates. A bucket of any size gives
 a number of pairs in proportion to its members: each is paired with the bucket's most connected
 text, then, if that left them in different classes, with texts drawn by hash, which differ from
-bucket to bucket. A pair counts if the Jaccard similarity of the two texts' distinct shingles,
+bucket to bucket. What is then still in different classes is compared exactly: in buckets of at
+most ``SMALL`` members all pairs, in the others all that an exact prefix join on the rarest shingles
+of all their members finds, so no pair depends on a drawn text. A pair counts if the Jaccard similarity of the two texts' distinct shingles,
 computed from the whole texts, is at least ``SIMILARITY``. Classes are the connected components.
 
 Exact copies are one text from the start, so thousands of copies cost one row a task. Texts of
@@ -21,6 +23,7 @@ don't matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +40,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 #: Texts of a bucket, drawn by hash, that each of its members is paired with.
 DRAWN = 3
+#: Members up to which all pairs of a bucket that are in different classes are compared.
+SMALL = 16
+#: Texts whose numbers of distinct shingles differ by less than this factor are in one size class.
+SIZE_STEP = 1.05
+#: Size classes that similar texts can be apart.
+CLASSES_APART = math.floor(-math.log(SIMILARITY) / math.log(SIZE_STEP)) + 1
 
 
 def shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -104,11 +113,22 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = signatures(place[owner[one]], hashes[one], np.ones(len(one)), len(own), BANDS * ROWS)
             bands = band_hashes(found, BANDS).view(np.int64)
             lists = pa.ListArray.from_arrays(np.arange(len(own) + 1, dtype=np.int32) * BANDS, pa.array(bands.reshape(-1)))
+            sizes = pa.array(np.bincount(owner[one], minlength=len(words.counts))[own])
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0).take(pa.array(own)), piece.column(1).take(pa.array(own)), lists], names=["k1", "k2", "bands"]
+                [piece.column(0).take(pa.array(own)), piece.column(1).take(pa.array(own)), sizes, lists],
+                names=["k1", "k2", "size", "bands"],
             )
 
 
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for piece in pieces(batch, "text", 1 << 20):
+            owner, hashes = shingles(words_of(piece.column(1)))
+            one = distinct(owner, hashes)[1]
+            columns = [piece.column(0).take(pa.array(owner[one])), pa.array(hashes[one].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "element"])
+
+
 def jaccard(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Similarity of the distinct shingles of each pair of texts."""
     sets = [distinct(*found) + (found[0],) for found in (shingles(words_of(a)), shingles(words_of(b)))]
@@ -149,11 +169,73 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*text_key("text")).alias("key"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _sided(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of groups with several classes: those outside the group's largest class, and all."""
+    counts = rows.groupBy(*by, "root").agg(F.count("*").alias("count"))
+    largest = counts.groupBy(*by).agg(F.max(F.struct("count", "root"))["root"].alias("largest"), F.count("*").alias("classes"))
+    own = cut_lineage(rows.join(largest.filter("classes > 1").drop("classes"), by))
+    return own.filter(F.col("root") != F.col("largest")), own
+
+
+def _across(sides: tuple[DataFrame, DataFrame], by: list[str]) -> DataFrame:
+    """Pairs of one group, in different classes, whose sizes let them be similar."""
+    few, own = (
+        x.select(*by, F.col("key").alias(f"key{i}"), F.col("root").alias(f"root{i}"), F.col("size").alias(f"size{i}"))
+        for i, x in enumerate(sides)
+    )
+    near = F.least("size0", "size1") >= SIMILARITY * F.greatest("size0", "size1") - 1e-6
+    return (
+        few.join(own, by)
+        .filter((F.col("root0") != F.col("root1")) & near)
+        .select(F.least("key0", "key1").alias("a"), F.greatest("key0", "key1").alias("b"))
+        .distinct()
+    )
+
+
+def _prefix_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs of texts in different classes that can be similar.
+
+    Two similar texts share so many shingles that the rarest shared one is among the rarest of
+    both. How many of these must be looked at depends on the two sizes, so it is by size classes.
+    """
+    wanted = texts.join(rows.select("key"), "key", "left_semi")
+    each = cut_lineage(wanted.select("key", "text").mapInArrow(_elements, "key struct<k1:long,k2:long>, element long"))
+    often = each.groupBy("element").agg(F.count("*").alias("often")).filter("often > 1")
+    ordered = (
+        each.join(often, "element", "left")
+        .groupBy("key")
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "element"))).alias("elements"))
+    )
+    lower = F.floor(F.pow(F.lit(SIZE_STEP), F.col("other")))  # least size of the other text's class
+    least = F.greatest(lower, F.ceil(SIMILARITY * F.col("size") - 1e-6))
+    shared = F.ceil(SIMILARITY / (1 + SIMILARITY) * (F.col("size") + least) - 1e-6)
+    prefixes = (
+        ordered.join(rows, "key")
+        .withColumn("own", F.floor(F.log(F.col("size").cast("double")) / math.log(SIZE_STEP) + 1e-9))
+        .withColumn("apart", F.explode(F.sequence(F.lit(-CLASSES_APART), F.lit(CLASSES_APART))))
+        .withColumn("other", F.col("own") + F.col("apart"))
+        .withColumn("length", (F.col("size") - shared + 1).cast("int"))
+        .filter("other >= 0 and length > 0")
+        .select(
+            "key",
+            "root",
+            "size",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            F.explode(F.slice("elements", F.lit(1), F.col("length"))).alias("x"),
+        )
+        .filter("x.often > 1")
+        .select("x.element", "low", "high", "key", "root", "size")
+    )
+    by = ["element", "low", "high"]
+    return _across(_sided(cut_lineage(prefixes), by), by)
+
+
 def similar_texts(docs: DataFrame) -> DataFrame:
     """``node`` and ``root`` of every text (its key) that is similar to another one."""
-    signed = docs.select(*text_key("text"), "text").mapInArrow(_signed, "k1 long, k2 long, bands array<long>")
+    signed = docs.select(*text_key("text"), "text").mapInArrow(_signed, "k1 long, k2 long, size long, bands array<long>")
     signed = cut_lineage(signed.dropDuplicates(["k1", "k2"]))
-    rows = signed.select(F.struct("k1", "k2").alias("key"), F.explode("bands").alias("bucket"))
+    rows = signed.select(F.struct("k1", "k2").alias("key"), "size", F.explode("bands").alias("bucket"))
     draws = [
         F.min(F.struct(F.xxhash64(F.lit(i), "bucket", "key").alias("h"), "key"))["key"].alias(f"drawn{i}")
         for i in range(DRAWN)
@@ -180,7 +262,20 @@ def similar_texts(docs: DataFrame) -> DataFrame:
         .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
         .select("a", "b")
     )
-    return components(linked.unionByName(_verified(apart, texts)))
+    known = cut_lineage(linked.unionByName(_verified(apart, texts)))
+    roots = components(known)
+    placed = (
+        members.select("bucket", "n", "key", "size")
+        .join(roots.select(F.col("node").alias("key"), "root"), "key", "left")
+        .withColumn("root", F.coalesce("root", "key"))
+    )
+    several = placed.groupBy("bucket").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other")
+    rest = cut_lineage(placed.join(several.select("bucket"), "bucket", "left_semi"))
+    if rest.isEmpty():
+        return roots
+    left = _across(_sided(rest.filter(F.col("n") <= SMALL), ["bucket"]), ["bucket"])
+    left = left.unionByName(_prefix_pairs(rest.filter(F.col("n") > SMALL).select("key", "root", "size").distinct(), texts))
+    return components(known.unionByName(_verified(left.distinct().join(first, ["a", "b"], "left_anti"), texts)))
 
 
 def _rooted(docs: DataFrame) -> DataFrame:

@@ -87,6 +87,18 @@ def test_copies_that_differ_by_a_much_repeated_line(spark):
     assert got(spark.createDataFrame(rows, X.DOCS)) == brute([r[:2] for r in rows])
 
 
+def test_near_copies_on_one_template_that_meet_no_centre(spark):
+    template = X.some_words(104, 31, 100_000)
+    rows = []
+    for i in range(300):
+        group = [f"group{i}-{j}" for j in range(8)]
+        for k in (0, 1):
+            rows.append(X.doc(2 * i + k, " ".join(template + group + [f"own{i}-{k}-{j}" for j in range(12)])))
+    df = spark.createDataFrame(rows, X.DOCS)
+    want = sorted(((i, i - i % 2) for i in range(600)), key=repr)
+    assert got(df) == want == brute([r[:2] for r in rows])
+
+
 def test_signatures_estimate_probability_jaccard():
     a, b = X.some_words(400, 21, 100_000), X.some_words(400, 22, 100_000)
     texts = [" ".join(a), " ".join(a[:300] + b[:100])]
