@@ -13,7 +13,8 @@ Spark, so they are committed atomically to any store, and hold what their reader
 Texts repeat their words, so a task tokenizes each distinct chunk once. A chunk is a stretch of
 text between places where the tokenizer's own pre-tokenizer always splits: before a single space
 or around a single line feed that stands between other characters. Results are those of encoding
-the whole text.
+the whole text without adding special tokens; a control string in a text gets its own id, as the
+tokenizer gives it by default.
 
 Null text is empty and gives the end id alone; a null ``doc_id`` stays null; repeated rows give
 repeated documents; an empty table gives files without records. Other columns are ignored.
@@ -66,14 +67,14 @@ def chunks_of(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 class Encoder:
-    """Ids of texts, with the ids of the chunks seen lately."""
+    """Ids of texts, with the ids of the chunks seen lately; control strings are ordinary text or, if not encoded, their own ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, encode_special_tokens: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = encode_special_tokens
         self._forget()
 
     def _forget(self) -> None:
@@ -123,7 +124,7 @@ _encoders: dict[str, Encoder] = {}
 
 def _encoder(path: str) -> Encoder:
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, encode_special_tokens=False)
     return _encoders[path]
 
 

@@ -91,6 +91,16 @@ def test_files_hold_all_documents(spark, monkeypatch, record):
         start += r.n_tokens
 
 
+def test_control_strings_get_the_ids_of_the_plain_call(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x\n<|endoftext|>\ny<|endoftext|>'s", "<|endoftext|> <|endoftext|>  z"]
+    folder = scratch_folder(spark)
+    docs = spark.createDataFrame([X.doc(i, t) for i, t in enumerate(texts + ODD)], X.DOCS)
+    token_output.write_token_ids(docs, folder, PATH)
+    rows = {r.doc_id: list(r.ids) for r in token_output.read_token_ids(spark, folder, with_ids=True).collect()}
+    whole = Tokenizer.from_file(PATH)
+    assert rows == {i: [*whole.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts + ODD)}
+
+
 def test_empty(spark):
     folder = scratch_folder(spark)
     token_output.write_token_ids(X.empty_docs(spark), folder, PATH)
