@@ -12,8 +12,9 @@ within each task first, and the join that brings counts back to the lines keeps
 hot host or line in splittable partitions.
 
 Null text is empty: no words, rejected. A null host counts as the empty host. Repeated rows are
-judged alike and both returned; an empty table gives no rows; other columns pass through
-``filter_quality`` whatever their names.
+judged alike and both returned; an empty table gives no rows. ``filter_quality`` returns the kept
+documents with the removed lines gone from ``text``; other columns pass through it whatever their
+names.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ def _text() -> Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
+def _line_hash(line: Column) -> Column:
+    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, BLANK, " "))))
+
+
 def line_numbers(docs: DataFrame, host: str) -> DataFrame:
     """A row for each document: its digest, its counts, and hash and words of each line."""
     split = docs.select("doc_id", _host(host).alias("host"), _text().alias("t")).select(
@@ -69,7 +74,7 @@ def line_numbers(docs: DataFrame, host: str) -> DataFrame:
         F.transform(
             "lines",
             lambda x: F.struct(
-                F.xxhash64(F.lower(F.trim(F.regexp_replace(x, BLANK, " ")))).alias("line"),
+                _line_hash(x).alias("line"),
                 F.size(_words(x)).alias("n"),
             ),
         ).alias("lines"),
@@ -136,12 +141,14 @@ def judge(
             F.sum(removed).alias("gone"),
             F.sum("n").alias("all"),
             F.count_if(F.col("pos") == 0).alias("rows"),
+            F.collect_set(F.when(F.col("first") != F.col("digest"), F.col("line"))).alias("gone_lines"),
         )
         .select(
             "host",
             "digest",
             ((F.col("all") - F.col("gone")) / F.col("rows")).cast("long").alias("n_words_left"),
             (F.col("gone") > 0).alias("touched"),
+            "gone_lines",
             (
                 (F.col("all") - F.col("gone") < min_left * F.col("all"))
                 | (F.col("all") - F.col("gone") < MIN_WORDS_LEFT * F.col("rows"))
@@ -163,14 +170,20 @@ def judge(
         (~base_failed & ~depleted).alias("kept"),
         "host",
         "digest",
+        "gone_lines",
     )
 
 
 def filter_quality(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
-    """The documents that are kept, all columns as they were."""
-    kept = judge(docs, host, **limits).filter("kept").select("host", "digest").distinct()
+    """The documents that are kept, without the lines that are removed, other columns as they were."""
+    kept = judge(docs, host, **limits).filter("kept").dropDuplicates(["host", "digest"]).select("host", "digest", "gone_lines")
     rows = docs.select(F.struct("*").alias("row"), _host(host).alias("host"), F.md5(_text()).alias("digest"))
-    return rows.join(kept, ["host", "digest"], "left_semi").select("row.*")
+    text = F.col("row")["text"]
+    left = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("gone_lines", _line_hash(x)))
+    cleaned = F.when(F.size("gone_lines") > 0, F.array_join(left, "\n")).otherwise(text)
+    return rows.join(kept, ["host", "digest"]).select(
+        *[(cleaned if c == "text" else F.col("row").getField(c)).alias(c) for c in docs.columns]
+    )
 
 
 ORACLE = """

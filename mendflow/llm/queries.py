@@ -58,7 +58,7 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(quality.ORACLE)
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(table(spark, sf_dir, "documents")).drop("host", "digest")
+    return quality.judge(table(spark, sf_dir, "documents")).drop("host", "digest", "gone_lines")
 
 
 @query()

@@ -156,6 +156,21 @@ def test_depleted_documents_go_and_copies_stay(spark):
     assert {r.doc_id for r in left.collect()} == set(out) - gone
 
 
+def test_boilerplate_leaves_the_text_of_all_but_one(spark):
+    licence = " ".join(X.some_words(40, 50))
+    own = [" ".join(X.some_words(30, 100 + i)) for i in range(8)]
+    rows = [X.doc(i, f"{own[i]}\n\n {licence.upper()} \n  tail {i}") for i in range(8)]
+    rows += [X.doc(20, rows[3][1]), X.doc(90, f"{licence}\nof another host", "src9"), X.doc(91, None)]
+    df = spark.createDataFrame(rows, X.DOCS)
+    left = {r.doc_id: r for r in quality.filter_quality(df, max_documents=5).collect()}
+    assert set(left) == {*range(8), 20, 90}
+    before = {r[0]: r[1] for r in rows}
+    whole = {before[i] for i, r in left.items() if r.text == before[i] and i != 90}
+    assert len(whole) == 1 and left[90].text == before[90] and left[20].text == left[3].text
+    for i in range(8):
+        assert left[i].text in whole or left[i].text == f"{own[i]}\n\n  tail {i}"
+
+
 # --- mixing ---
 
 
