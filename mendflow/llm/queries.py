@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mendflow.llm import chat, decontaminate, html_text, lines, mixing, neardup, quality, substrings, token_output, urls
+from mendflow.llm import (
+    alignment,
+    chat,
+    decontaminate,
+    html_text,
+    lines,
+    mixing,
+    neardup,
+    quality,
+    substrings,
+    token_output,
+    urls,
+)
 from mendflow.llm.ship import ship
 from mendflow.sources.tables import scratch_folder
 
@@ -93,3 +105,9 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     token_output.write_token_ids(table(spark, sf_dir, "documents"), folder, path)
     return token_output.read_token_ids(spark, folder)
+
+
+@query()
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)
