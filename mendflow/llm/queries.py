@@ -16,6 +16,7 @@ from mendflow.llm import (
     lines,
     mixing,
     neardup,
+    prefix_trie,
     quality,
     substrings,
     token_output,
@@ -107,6 +108,11 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_token_ids(spark, folder)
 
 
+@query(prefix_trie.ORACLE)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
