@@ -21,6 +21,7 @@ from mendflow.llm import (
     substrings,
     token_output,
     urls,
+    vectors,
 )
 from mendflow.llm.ship import ship
 from mendflow.sources.tables import scratch_folder
@@ -108,6 +109,11 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.read_token_ids(spark, folder)
 
 
+@query(vectors.ORACLE)
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.classify(table(spark, sf_dir, "embeddings"))
+
+
 @query(prefix_trie.ORACLE)
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
