@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import pathlib
 
 import pytest
 from tests.conftest import rows
@@ -331,3 +332,81 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     cut = tables.cut_lineage(spark.range(3))
     assert cut.count() == 3
     assert cut.inputFiles()[0].removeprefix("file://").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+# --- several runs at once -------------------------------------------------------------------------
+
+def _at_once(work, n):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(n) as pool:
+        return list(pool.map(work, range(n)))
+
+
+def _append_part(spark, fqn, i):
+    rows = spark.range(i * 100, i * 100 + 100)
+    tables.append(rows.withColumn(f"c{i % 2}", F.lit(i)) if i % 4 == 3 else rows, fqn)
+
+
+def test_eight_appends_to_a_new_and_to_an_existing_table(spark):
+    fqn = "atonce.q.rows"
+    for turn in (0, 1):  # the first eight make the table, each by itself as far as it knows
+        _at_once(lambda i, t=turn: _append_part(spark, fqn, 8 * t + i), 8)
+    assert sorted(r["id"] for r in tables.read(spark, fqn).collect()) == list(range(1600))
+    assert tables.APPEND not in tables.read(spark, fqn).columns
+    assert tables.partition_columns(spark, fqn) == []
+
+
+def test_appends_to_a_plain_table_made_elsewhere(spark):
+    fqn = "atonce.q.plain"
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {tables.schema_name(spark, 'atonce.q')}")
+    spark.range(5).write.saveAsTable(tables.table_name(spark, fqn).replace("`", ""))
+    _at_once(lambda i: tables.append(spark.range(100 + i * 10, 110 + i * 10), fqn), 8)
+    assert tables.read(spark, fqn).count() == 85
+
+
+def test_eight_slices_of_a_new_table(spark):
+    fqn = "atonce.q.slices"
+    for turn in range(3):
+        _at_once(lambda i, t=turn: tables.replace_slice(spark.range(i + t).withColumn("part", F.lit(f"p{i}")), fqn, "part", f"p{i}"), 8)
+    counts = {r["part"]: r["count"] for r in tables.read(spark, fqn).groupBy("part").count().collect()}
+    assert counts == {f"p{i}": i + 2 for i in range(8)}
+
+
+def _data_folders(spark, fqn):
+    root = pathlib.Path(tables._versions_folder(spark, fqn).removeprefix("file:"))
+    return {str(p.parent.relative_to(root)) for p in root.rglob("*.parquet")}
+
+
+def test_replaced_folders_go_but_the_last_one(spark):
+    fqn = "leaks.q.slices"
+    for turn in range(4):
+        for part in ("a", "b"):
+            tables.replace_slice(spark.range(3 + turn).withColumn("part", F.lit(part)), fqn, "part", part)
+    assert len(_data_folders(spark, fqn)) == 4  # the current folder and the one before it, of two slices
+
+    fqn = "leaks.q.parts"
+    name = tables.table_name(spark, fqn)
+    spark.sql(f"CREATE TABLE {name} (id BIGINT, k STRING) USING parquet PARTITIONED BY (k)")
+    for turn in range(4):
+        rows = spark.range(4).selectExpr(f"id + {turn} AS id", "concat('k%/', id % 2) AS k")
+        tables.replace_partitions(rows, fqn, rows.select("k"))
+    assert sorted(map(tuple, tables.read(spark, fqn).collect())) == [(i + 3, f"k%/{i % 2}") for i in range(4)]
+    assert len(_data_folders(spark, fqn)) == 4
+
+    fqn = "leaks.q.appends"
+    for turn in range(5):
+        tables.append(spark.range(2), fqn)
+    tables.replace(tables.read(spark, fqn).distinct(), fqn)
+    assert sorted(r["id"] for r in tables.read(spark, fqn).collect()) == [0, 1]
+    assert len(_data_folders(spark, fqn)) == 2
+
+
+def test_replacing_what_was_appended_may_change_columns(spark):
+    fqn = "leaks.q.columns"
+    tables.append(spark.range(3), fqn)
+    tables.replace(tables.read(spark, fqn).selectExpr("id", "id * 2 AS twice"), fqn)
+    tables.append(spark.range(1), fqn)
+    assert sorted(map(tuple, tables.read(spark, fqn).select("id", "twice").fillna(-1).collect())) == [(0, -1), (0, 0), (1, 2), (2, 4)]
+    tables.replace(tables.read(spark, fqn).selectExpr("cast(id AS string) AS id"), fqn)
+    assert tables.read(spark, fqn).dtypes == [("id", "string")]

@@ -194,6 +194,39 @@ def process_all_tables(spark, sf):
     return _stored(spark, work)
 
 
+@query(DIRTY + """, bad AS (SELECT order_id % 8 AS part, order_id FROM dirty WHERE NOT regexp_matches(code, '^[0-9]{5}$'))
+SELECT 'silver_' || part AS name, count(*) AS queued, count(*) AS reingested, count(*) AS audited FROM bad GROUP BY part""")
+def process_all_shared(spark, sf):
+    """Eight tables are repaired four at a time; all write to one queue, one audit and one metrics table."""
+    check = X.check("code_not_matching_regex", "matches_regex", column="code", pattern="^[0-9]{5}$")
+
+    def work(catalog: str) -> DataFrame:
+        dirty = X.frame(spark, sf, "DIRTY")
+        checks_for = lambda fqn: [check]
+        for part in range(8):
+            source, target = f"{catalog}.silver.t{part}", f"{catalog}.quarantine.silver_{part}"
+            rows = dirty.filter(F.col("order_id") % 8 == part)
+            tables.append(V.validate(rows, [check], source, "order_id", as_of=X.at(1))[1], target)
+            tables.append(rows.limit(0), source)
+        done = remediation.process_all(
+            spark, f"{catalog}.quarantine",
+            lambda fqn: remediation.remediate_table(
+                spark, fqn, f"{catalog}.gov.queue", "run1", [], checks_for,
+                audit_fqn=f"{catalog}.gov.audit", metrics_fqn=f"{catalog}.gov.metrics",
+            ),
+            "silver_",
+        )
+        failed = [f"{o.fqn}: {o.error}" for o in done if o.error]
+        if failed:
+            raise RuntimeError("; ".join(failed))
+        queue, audit = tables.read(spark, f"{catalog}.gov.queue"), tables.read(spark, f"{catalog}.gov.audit")
+        name = F.substring_index("quarantine_fqn", ".", -1).alias("name")
+        queued = queue.groupBy(name).agg(F.count("*").alias("queued"), F.count_if(F.col("status") == S.REINGESTED).alias("reingested"))
+        return queued.join(audit.groupBy(name).agg(F.sum("triaged_count").alias("audited")), "name")
+
+    return _stored(spark, work)
+
+
 # --- sources and sinks ----------------------------------------------------------------------------
 
 @query("""SELECT DISTINCT 'quarantine.silver_' || lower(o_orderstatus) AS name FROM orders""")
