@@ -36,7 +36,7 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Sketch size: least and most items, and items for each key that may be heavy.
 TRACKED_KEYS = (4096, 1_000_000)
 TRACKED_PER_HEAVY = 4
-SKETCH_GROUPS = 1000
+SKETCHES_A_TASK = 32
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -76,7 +76,8 @@ def _salts(rows: str, task_rows: int) -> Column:
 def hot_keys(df: DataFrame, on: Sequence[str], task_rows: int | None = None) -> DataFrame | None:
     """``__hash`` and ``__salts`` of the heavy keys; keys with a null do not count.
 
-    Sketches are merged in two steps so that no task receives one from every input task.
+    Sketches are merged in a tree, so that no task receives more than ``SKETCHES_A_TASK`` of them
+    up to the third power of that number of input tasks.
     """
     task_rows = task_rows or TASK_ROWS
     keys = df.filter(~any_null(on)).select(F.xxhash64(*on).alias("h"))
@@ -85,12 +86,10 @@ def hot_keys(df: DataFrame, on: Sequence[str], task_rows: int | None = None) ->
     if not most:
         return None
     tracked = min(max(TRACKED_PER_HEAVY * most, TRACKED_KEYS[0]), TRACKED_KEYS[1])
-    sketches = (
-        keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"))
-        .agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
-        .groupBy(F.col("g") < 0)  # one group; a grouped merge skips partitions without a sketch
-        .agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
-    )
+    sketches = keys.groupBy(F.spark_partition_id().alias("g")).agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
+    for groups in (SKETCHES_A_TASK**2, SKETCHES_A_TASK, 1):  # a grouped merge skips partitions without a sketch
+        step = sketches.groupBy(F.pmod("g", F.lit(groups)).alias("g"))
+        sketches = step.agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
     top = sketches.selectExpr(f"inline(approx_top_k_estimate(s, {min(most, tracked)}))")
     found = (
         top.filter(F.col("count") >= task_rows)

@@ -137,7 +137,7 @@ def _create(spark: SparkSession, fqn: str, df: DataFrame, folder: str) -> None:
     df.write.format("parquet").option("path", folder).saveAsTable(name.replace("`", ""))
 
 
-def _create_partitioned(spark: SparkSession, fqn: str, schema: StructType, by: str) -> None:
+def create_partitioned(spark: SparkSession, fqn: str, schema: StructType, by: str) -> None:
     """A table without rows, unless another run has just made it."""
     name = table_name(spark, fqn)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema if f.name != by)
@@ -176,7 +176,7 @@ def append(df: DataFrame, fqn: str) -> None:
     spark = df.sparkSession
     name = table_name(spark, fqn)
     if not exists(spark, fqn):
-        _create_partitioned(spark, fqn, df.schema, APPEND)
+        create_partitioned(spark, fqn, df.schema, APPEND)
     # Columns the frame lacks become typed nulls; insertInto matches by position.
     schema = _widen(spark, fqn, df.schema)
     parts = _all_partition_columns(spark, fqn)
@@ -369,7 +369,7 @@ def replace_slice(df: DataFrame, fqn: str, column: str, value: str) -> None:
     spark = df.sparkSession
     name = table_name(spark, fqn)
     if not exists(spark, fqn):
-        _create_partitioned(spark, fqn, df.schema, column)
+        create_partitioned(spark, fqn, df.schema, column)
     slice_name = f"slice-{hashlib.md5(value.encode(), usedforsecurity=False).hexdigest()}"
     folder = f"{_new_folder(spark, fqn)}/{slice_name}"
     df.drop(column).write.parquet(folder)

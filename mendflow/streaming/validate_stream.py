@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from mendflow.operators.checks import parse_checks
+from mendflow.operators.history import KeyHistory
+from mendflow.operators.keychecks import unique_keys
 from mendflow.operators.validate import validate
+from mendflow.sources import tables
 
 Sink = Callable[[DataFrame, DataFrame, int], None]
 
@@ -24,21 +27,28 @@ def validate_stream(
     refs: Mapping[str, DataFrame] | None = None,
     as_of: Column | None = None,
     every: str | None = None,
+    histories: Mapping[str, KeyHistory] | None = None,
 ) -> StreamingQuery:
     """Validate each micro-batch and hand ``(valid, quarantine, batch_id)`` to the sink.
 
     Without ``every`` all available data is processed and the query ends. A batch may be
     delivered again after a failure, so the sink should write by ``batch_id``, as
-    ``partitioned_sink`` does. Uniqueness is decided within a batch.
+    ``partitioned_sink`` does. Uniqueness is decided within a batch, or over all batches so far for
+    a check whose argument ``history`` names one of the ``histories``.
     """
     parsed = parse_checks(checks)
+    remembered = [c for c in parsed if c.arguments.get("history")]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Both outputs and the key counts read the batch; lost blocks are read from the source again.
         kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            valid, quarantine = validate(kept, parsed, sources, keys, refs, as_of)
-            sink(valid, quarantine, batch_id)
+            with tables.scratch(batch.sparkSession):
+                seen = {name: h.at(batch_id) for name, h in (histories or {}).items()}
+                valid, quarantine = validate(kept, parsed, sources, keys, {**(refs or {}), **seen}, as_of)
+                sink(valid, quarantine, batch_id)
+                for check in remembered:
+                    seen[check.arguments["history"]].record(unique_keys(kept, check))
         finally:
             kept.unpersist()
 

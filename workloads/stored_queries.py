@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.operators import checks as C
-from mendflow.operators import reingest
+from mendflow.operators import keychecks, reingest
 from mendflow.operators import validate as V
+from mendflow.operators.history import KeyHistory
 from mendflow.plans import dryrun, remediation
 from mendflow.plans.validation import Validator
 from mendflow.sources import playbooks, rules, tables
@@ -65,6 +66,67 @@ def universal_evaluate(spark, sf):
     return bad.select("customer_key", names("_error").alias("failed"))
 
 
+@query(DIRTY + """, batches AS (SELECT *, order_id % 5 AS batch FROM dirty),
+n AS (SELECT *, count(*) OVER (PARTITION BY customer_id, status) AS all_rows,
+  count(*) OVER (PARTITION BY customer_id, status ORDER BY batch) AS rows_so_far FROM batches)
+SELECT order_id, batch::BIGINT AS batch, customer_id IS NOT NULL AND status IS NOT NULL AND rows_so_far > 1 AS failed_then,
+  customer_id IS NOT NULL AND status IS NOT NULL AND all_rows > 1 AS failed_at_last FROM n""")
+def unique_across_batches(spark, sf):
+    """Five batches against kept key counts: what fails in its batch, and with rows taken back later, as over the union."""
+    check = C.parse_check(X.check("one_order", "is_unique", columns=["customer_id", "status"], history="orders"))
+
+    def work(catalog: str) -> DataFrame:
+        history = KeyHistory(spark, f"{catalog}.gov.seen_orders", buckets=4, merge_after=2)
+        dirty = X.frame(spark, sf, "DIRTY").select("order_id", "customer_id", "status")
+        marked, taken_back = [], []
+        for batch in range(5):
+            rows = dirty.filter(F.col("order_id") % 5 == batch)
+            seen = history.at(batch)
+            keys = keychecks.unique_keys(rows, check)
+            failing = C.evaluate(rows, [check], {"orders": seen})
+            marked.append(failing.select("*", F.lit(batch).cast("long").alias("batch")))
+            taken_back.append(seen.repeated_now(keys).withColumn("by", F.lit(batch)))
+            marked[-1], taken_back[-1] = tables.cut_lineage(marked[-1]), tables.cut_lineage(taken_back[-1])
+            seen.record(keys)
+            if batch == 3:
+                seen.record(keys)  # delivered again
+        rows, late = marked[0], taken_back[0]
+        for i in range(1, 5):
+            rows, late = rows.unionByName(marked[i]), late.unionByName(taken_back[i])
+        then = F.col("_error").isNotNull()
+        back = late.select("k1", "k2").distinct().withColumn("back", F.lit(True))
+        keyed = rows.withColumns({f"k{i + 1}": x for i, x in enumerate(keychecks.digest([F.col("customer_id"), F.col("status")]))})
+        return keyed.join(back, ["k1", "k2"], "left").select(
+            "order_id", "batch", then.alias("failed_then"), (then | F.coalesce("back", F.lit(False))).alias("failed_at_last")
+        )
+
+    return _stored(spark, work)
+
+
+@query(DIRTY + f""", silver AS ({X.sql('SILVER')}), c AS (SELECT c_custkey AS known FROM customer WHERE c_custkey % 11 <> 0),
+f AS (SELECT d.order_id,
+  count(*) OVER (PARTITION BY d.customer_id, d.status) > 1 AND d.customer_id IS NOT NULL AND d.status IS NOT NULL AS pair,
+  count(*) OVER (PARTITION BY lower(d.priority), floor(d.amount)) > 1 AS prio,
+  d.customer_id IS NOT NULL AND known IS NULL AS orphan,
+  s.order_id IS NOT NULL AND s.amount IS DISTINCT FROM d.amount AS differs
+  FROM dirty d LEFT JOIN c ON known = d.customer_id LEFT JOIN silver s ON s.order_id = d.order_id)
+SELECT order_id, concat_ws('|', CASE WHEN pair THEN 'pair' END, CASE WHEN prio THEN 'prio' END,
+  CASE WHEN orphan THEN 'orphan' END, CASE WHEN differs THEN 'differs' END) AS failed
+FROM f WHERE pair OR prio OR orphan OR differs""")
+def check_keys_together(spark, sf):
+    """Two uniqueness checks, a foreign key and a comparison: one count of all their keys."""
+    customers = X.table(spark, sf, "customer").select(F.col("c_custkey").cast("int").alias("customer_id")).filter("customer_id % 11 <> 0")
+    refs = {"customers": customers, "orders": X.frame(spark, sf, "SILVER").select("order_id", "amount")}
+    checks = [
+        X.check("pair", "is_unique", columns=["customer_id", "status"]),
+        X.check("prio", "is_unique", columns=["priority", "whole"], ci_columns=["priority"], nulls_distinct=False),
+        X.check("orphan", "foreign_key", column="customer_id", ref_table="customers", ref_column="customer_id"),
+        X.check("differs", "sql_query", compare_column="amount", other_table="orders", join_keys=["order_id"]),
+    ]
+    rows = X.frame(spark, sf, "DIRTY").withColumn("whole", F.floor("amount"))
+    return C.split(rows, checks, refs)[1].select("order_id", names("_error").alias("failed"))
+
+
 # --- patch and merge ------------------------------------------------------------------------------
 
 @query(DIRTY + """SELECT order_id, CASE order_id % 4 WHEN 0 THEN 'x|' || priority ELSE status END AS tags,
