@@ -120,14 +120,41 @@ def passing_examples(silver: DataFrame, columns: Sequence[str], n: int = S.PASSI
 REPLY_DDL = f"decision string, fixes {FIXES}, confidence double, reasoning string"
 
 
-# Text of an object: strings in either quotes, and objects within it to a depth of three.
+# Pieces of a reply: escapes, quotes, braces, and what is between them.
+_REPLY_TOKENS = r"""(?s)\\.|["'{}]|[^\\"'{}]++|."""
 _STRING = r"""(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+')"""
-_OBJECT = ""
-for _ in range(3):
-    _OBJECT = r"\{(?:[^{}\"']++|" + _STRING + (f"|{_OBJECT}" if _OBJECT else "") + r")*+\}"
 _PIECES = f"(?s){_STRING}|[^\"']+|."
 
 
+def _object_from(tokens: Column, start: Column) -> Column:
+    """Text of the object that opens at a token, null if it never closes: a depth counter and the open quote."""
+    begin = F.struct(F.lit(0).alias("depth"), F.lit("").alias("quote"), F.lit(0).alias("n"), F.lit(0).alias("length"))
+
+    def step(s: Column, t: Column) -> Column:
+        plain = s["quote"] == ""
+        depth = s["depth"] + F.when(~plain, 0).when(t == "{", 1).when(t == "}", -1).otherwise(0)
+        quote = F.when(plain & t.isin('"', "'"), t).when(~plain & (t == s["quote"]), "").otherwise(s["quote"])
+        closed = plain & (t == "}") & (depth == 0)
+        done = s["length"] > 0
+        return F.struct(
+            F.when(done, s["depth"]).otherwise(depth).alias("depth"),
+            F.when(done, s["quote"]).otherwise(quote).alias("quote"),
+            (s["n"] + 1).alias("n"),
+            F.when(~done & closed, s["n"] + 1).otherwise(s["length"]).alias("length"),
+        )
+
+    rest = F.slice(tokens, start, F.size(tokens))
+    length = F.aggregate(rest, begin, step, lambda s: s["length"])
+    return F.when(length > 0, F.array_join(F.slice(rest, F.lit(1), length), ""))
+
+
+def objects_in(text: str | Column) -> Column:
+    """Every object in a text, nested to any depth, in the order in which they open."""
+    text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
+    tokens = F.regexp_extract_all(text, F.lit(_REPLY_TOKENS), F.lit(0))
+    return F.array_compact(F.transform(tokens, lambda t, i: F.when(t == "{", _object_from(tokens, i + 1))))
+
+
 def _literals_as_json(text: Column) -> Column:
     """``None``, ``True`` and ``False`` outside strings as JSON writes them."""
     pieces = F.regexp_extract_all(text, F.lit(_PIECES), F.lit(0))
@@ -146,12 +173,11 @@ def _literals_as_json(text: Column) -> Column:
 def parse_replies(replies: DataFrame, reply_col: str = "reply") -> DataFrame:
     """Decisions from text replies ``(signature, reply)``; prose around the object is ignored.
 
-    Every balanced object of the text is tried in order and the first that holds a decision wins;
-    Python literals count as well as JSON. A reply without one escalates with confidence 0.
+    Every balanced object of the text, also those inside others, is tried in the order in which they open, and the
+    first that holds a decision wins; Python literals count as well as JSON. A reply without one escalates with confidence 0.
     """
-    found = F.regexp_extract_all(F.coalesce(reply_col, F.lit("")), F.lit(f"(?s){_OBJECT}"), F.lit(0))
     parsed = F.transform(
-        found, lambda x: F.from_json(_literals_as_json(x), REPLY_DDL, {"allowSingleQuotes": "true"})
+        objects_in(reply_col), lambda x: F.from_json(_literals_as_json(x), REPLY_DDL, {"allowSingleQuotes": "true"})
     )
     first = F.get(F.filter(parsed, lambda r: r["decision"].isNotNull()), F.lit(0))
     good = F.col("r.decision").isNotNull()
@@ -194,21 +220,28 @@ def candidates_for(check: Check) -> list[tuple[Mapping, ...]]:
     return chains
 
 
+Candidates = Sequence[Sequence[Mapping]] | Mapping[str, Sequence[Sequence[Mapping]]]
+
+
 def _tried(
-    df: DataFrame, checks: Sequence[Mapping | Check], candidates: Sequence[Sequence[Mapping]] | None
+    df: DataFrame, checks: Sequence[Mapping | Check], candidates: Candidates | None
 ) -> list[tuple[Check, Sequence[Sequence[Mapping]]]]:
-    """Checks of one text-like column with the chains to try on it."""
+    """Checks of one text-like column with the chains to try on it; a mapping adds to those of its rules."""
     found = []
     for check in parse_checks(checks):
         if check.function in VALUE_CHECKS and len(check.columns) == 1 and check.columns[0] in df.columns:
-            found.append((check, candidates_for(check) if candidates is None else candidates))
+            if candidates is None or isinstance(candidates, Mapping):
+                own = [*candidates_for(check), *(candidates or {}).get(check.name, ())]
+            else:
+                own = candidates
+            found.append((check, own))
     return found
 
 
 def transform_scores(
     df: DataFrame,
     checks: Sequence[Mapping | Check],
-    candidates: Sequence[Sequence[Mapping]] | None = None,
+    candidates: Candidates | None = None,
 ) -> DataFrame:
     """Share of failing rows each candidate would repair, per signature and rule.
 
@@ -245,7 +278,7 @@ def transform_scores(
 def search_transforms(
     df: DataFrame,
     checks: Sequence[Mapping | Check],
-    candidates: Sequence[Sequence[Mapping]] | None = None,
+    candidates: Candidates | None = None,
     threshold: float = S.PROBE_THRESHOLD,
 ) -> DataFrame:
     """Proposals found by trying candidate chains on the failing rows.
@@ -292,14 +325,15 @@ def search_transforms(
         ).alias("__rules"),
         F.collect_list(F.struct("rule", "__steps")).alias("__chosen"),
     )
-    n_rules = F.size(F.split("signature", r"\|"))
-    solved = (F.col("__share") >= threshold) & (F.col("__solved") == n_rules)
+    # A name may have a bar in it, so rules are not counted in the signature's text.
+    solved = (F.col("__share") >= threshold) & (F.col("__solved") == F.col("__fewest")) & (F.col("__fewest") == F.col("__most"))
     ordered = F.flatten(
         F.transform(
             "__rules", lambda r: F.element_at(F.map_from_entries("__chosen"), r)
         )
     )
-    signatures = df.select("signature").distinct()
+    n_rules = F.size(F.coalesce("rule_violations", F.array()))
+    signatures = df.groupBy("signature").agg(F.min(n_rules).alias("__fewest"), F.max(n_rules).alias("__most"))
     return signatures.join(per_signature, "signature", "left").select(
         "signature",
         F.when(solved, "fix").otherwise("escalate").alias("decision"),

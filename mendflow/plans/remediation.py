@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
-from mendflow.operators import curate, metrics, playbook, probe, reingest
+from mendflow.operators import curate, induce, metrics, playbook, probe, reingest
 from mendflow.operators import queue as Q
 from mendflow.sources import tables
 
@@ -123,14 +123,21 @@ def remediate(
     dry_run: bool = False,
     as_of: Column | None = None,
     cut: Callable[[DataFrame], DataFrame] = tables.cut_lineage,
+    induce_repairs: bool = False,
 ) -> Pass:
     """The whole pass for one table whose merge target and keys are known.
 
     With ``dry_run`` rows stay ``revalidated_pass`` and the clean table is unchanged; a later
     run takes them up again. With ``reset_queue`` the table's queue rows are dropped first and
-    its quarantined rows are triaged from scratch.
+    its quarantined rows are triaged from scratch. With ``induce_repairs`` the transforms that are
+    tried also come from the shapes of the failing values and of the clean table's.
     """
-    propose = propose or (lambda rows: curate.search_transforms(rows, checks))
+    if propose is None:
+
+        def propose(rows: DataFrame) -> DataFrame:
+            found = induce.induced_candidates(rows, silver, checks) if induce_repairs else None
+            return curate.search_transforms(rows, checks, found)
+
     others = Q.reset_queue(queue, quarantine_fqn)
     mine = F.col("quarantine_fqn") == quarantine_fqn
     queue = queue.filter(F.lit(False) if reset_queue else mine)

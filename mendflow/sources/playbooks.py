@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mendflow.operators import lookup
@@ -66,13 +66,15 @@ def entries_frame(spark: SparkSession, entries: Mapping[str, Sequence[Mapping]])
     return spark.createDataFrame(rows, ENTRIES_DDL)
 
 
+def ranked_entries(entries_df: DataFrame) -> DataFrame:
+    """All entries with their ``place`` in the order in which their dataset tries them; no priority comes last."""
+    order = Window.partitionBy("dataset").orderBy(F.coalesce("priority", F.lit(DEFAULT_PRIORITY)), "rule_name")
+    return entries_df.withColumn("place", F.row_number().over(order))
+
+
 def playbook_entries(entries_df: DataFrame, dataset: str) -> list[dict]:
     """The entries of one dataset, in priority order."""
-    rows = (
-        entries_df.filter(F.col("dataset") == dataset)
-        .orderBy(F.coalesce("priority", F.lit(DEFAULT_PRIORITY)), "rule_name")
-        .collect()
-    )
+    rows = ranked_entries(entries_df.filter(F.col("dataset") == dataset)).orderBy("place").collect()
     found = []
     for r in rows:
         params = {}

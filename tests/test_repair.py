@@ -10,6 +10,7 @@ from mendflow.functions import transforms as T
 from mendflow.operators import curate, lookup, playbook, probe, reingest
 from mendflow.operators import queue as Q
 from tests.conftest import rows
+from workloads.fixtures import check
 
 RESULT = S.RESULT_DDL
 
@@ -410,3 +411,40 @@ def test_outcomes_only_move_open_rows(spark):
     for s in statuses:
         is_open = s in ("curated", "revalidated_fail", "revalidated_pass")
         assert moved[s] == (("revalidated_fail", 1, "run2") if is_open else (s, 0, "run1"))
+
+
+# --- replies of any depth, names with bars --------------------------------------------------------
+
+def _decisions(spark, *replies):
+    table = spark.createDataFrame([(str(i), r) for i, r in enumerate(replies)], "signature string, reply string")
+    return [(r["decision"], r["confidence"], r["reasoning"]) for r in curate.parse_replies(table).orderBy("signature").collect()]
+
+
+def test_replies_of_any_depth(spark):
+    deep = '{"decision": "fix", "extra": ' + '{"a": ' * 10 + "[{}]" + "}" * 10 + ', "confidence": 0.9}'
+    found = _decisions(
+        spark,
+        deep,
+        '{"result": ' + deep + "}",
+        "{'decision': 'fix', 'confidence': 0.4, 'reasoning': None, 'x': {'y': {'z': {'w': {'v': True}}}}}",
+        'look: {x, it\'s "{" then {"decision": "reject", "reasoning": "a } in \\"text\\" {", "confidence": 0.5} ok',
+        '{"decision": "fi\n{"decision": "reject", "confidence": 0.7}',
+        '{"a": 1} {"decision": "reject", "confidence": 1}, {"decision": "fix", "confidence": 0.1}',
+        "{{{ nothing }",
+        None,
+        "x" * 50_000,
+    )
+    none = ("escalate", 0.0, "agent_unavailable: no decision in reply")
+    assert found == [
+        ("fix", 0.9, ""), ("fix", 0.9, ""), ("fix", 0.4, ""), ("reject", 0.5, 'a } in "text" {'),
+        ("reject", 0.7, ""), ("reject", 1.0, ""), none, none, none,
+    ]
+
+
+def test_rule_names_with_bars_are_one_rule(spark):
+    one = check("a|b", "matches_regex", column="code", pattern="^[0-9]{3}$")
+    rows_ = spark.createDataFrame([("x001", ["a|b"]), ("y002", ["a|b"])], "code string, rule_violations array<string>")
+    found = curate.search_transforms(curate.with_signature(rows_), [one]).collect()
+    assert [(r["signature"], r["decision"]) for r in found] == [("a|b", "fix")]
+    mixed = rows_.unionByName(spark.createDataFrame([("z003", ["a", "b"])], rows_.schema))
+    assert [r["decision"] for r in curate.search_transforms(curate.with_signature(mixed), [one]).collect()] == ["escalate"]

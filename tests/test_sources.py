@@ -410,3 +410,21 @@ def test_replacing_what_was_appended_may_change_columns(spark):
     assert sorted(map(tuple, tables.read(spark, fqn).select("id", "twice").fillna(-1).collect())) == [(0, -1), (0, 0), (1, 2), (2, 4)]
     tables.replace(tables.read(spark, fqn).selectExpr("cast(id AS string) AS id"), fqn)
     assert tables.read(spark, fqn).dtypes == [("id", "string")]
+
+
+def test_templates_bound_by_expression_are_those_bound_one_by_one(spark):
+    templates = [
+        {"name": "{{column}}_set", "column": "*", "columns": [], "check": {"function": "f", "arguments": {
+            "column": "${column}", "columns": "{{columns}}", "x": "a {{columns_csv}} $ __COLUMNS__ _ {", "deep": [{"column": "*"}]}}},
+        {"name": "n", "column": None, "columns": None, "check": {"a": 1}},
+        {"name": "column", "column": "column", "columns": "columns", "k": None},
+        {"column": "keep", "columns": ["x"], "n": 5},
+    ]
+    names = ['a"b', "${column}", "c,d\\e", "é{{columns}}"]
+    table = spark.createDataFrame([(str(i), json.dumps(t, indent=i or None)) for i, t in enumerate(templates)], "rule_fqn string, check_json string")
+    listed = [(str(i), n, k) for i in range(len(templates)) for k, n in enumerate(names)]
+    columns = spark.createDataFrame(listed, "rule_fqn string, column_name string, position int")
+    found = rules.bind_universal_json(table, columns).collect()
+    assert len(found) == len(templates) * len(names)
+    for r in found:
+        assert json.loads(r["check_json"]) == rules.bind_universal(templates[int(r["rule_fqn"])], r["column_name"], names)

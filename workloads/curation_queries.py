@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions import transforms
-from mendflow.operators import curate, lookup, playbook, probe
+from mendflow.operators import curate, induce, lookup, playbook, probe, reingest
 from mendflow.operators import queue as Q
+from mendflow.operators.checks import split
 from workloads import fixtures as X
 from workloads.registry import day, joined, names, query, sorted_map
 
@@ -367,6 +368,64 @@ def parse_replies(spark, sf):
     return found.select("signature", "decision", fixes.alias("fixes"), "confidence", "reasoning")
 
 
+@query("""SELECT 's' || c_custkey AS signature, CASE WHEN c_custkey % 5 = 0 THEN 'escalate' ELSE 'reject' END AS decision,
+  CAST(CASE WHEN c_custkey % 5 = 0 THEN 0 ELSE 0.75 END AS DOUBLE) AS confidence,
+  CASE WHEN c_custkey % 5 = 0 THEN 'agent_unavailable: no decision in reply' ELSE 'unlike } or { of ' || c_custkey END AS reasoning
+FROM customer""")
+def parse_nested_replies(spark, sf):
+    """Decisions among other objects, with up to eleven levels inside, braces in strings, and replies cut short."""
+    key = F.col("c_custkey").cast("string")
+    depth = (F.col("c_custkey") % 12).cast("int")
+    extra = F.concat(F.repeat(F.lit('{"a": ['), depth), F.lit("1"), F.repeat(F.lit("]}"), depth))
+    decision = F.concat(
+        F.lit('{"decision": "reject", "extra": '), extra, F.lit(', "confidence": 0.75, "reasoning": "unlike } or { of '), key, F.lit('"')
+    )
+    end = F.when(F.col("c_custkey") % 5 == 0, "").otherwise("}")
+    text = F.concat(F.lit('Taking {this} in, it\'s {"n": {"n": 1}} and so '), decision, end, F.lit(" as asked {"))
+    replies = X.table(spark, sf, "customer").select(F.concat(F.lit("s"), key).alias("signature"), text.alias("reply"))
+    return curate.parse_replies(replies).select("signature", "decision", "confidence", "reasoning")
+
+
+#: Order lines' texts as they should be, and as they came: eight ways to be wrong.
+_SHAPES = """shaped AS (SELECT o_orderkey % 8 AS kind, o_orderkey, lpad(CAST(o_orderkey % 10000 AS {S}), 5, '0') AS code,
+  {DAY} AS day, concat(CAST(100 + o_custkey % 900 AS {S}), '-', CAST(1000 + o_orderkey % 9000 AS {S})) AS phone FROM orders)"""
+_CAME = """came AS (SELECT o_orderkey, kind,
+  CASE kind WHEN 0 THEN concat('A', CAST(o_orderkey % 10000 AS {S})) WHEN 1 THEN concat(code, '-X') ELSE code END AS code,
+  CASE kind WHEN 2 THEN concat_ws('/', substring(day, 9, 2), substring(day, 6, 2), substring(day, 1, 4))
+    WHEN 3 THEN concat(substring(day, 1, 4), substring(day, 6, 2), substring(day, 9, 2)) ELSE day END AS day,
+  CASE kind WHEN 4 THEN replace(phone, '-', '.') WHEN 5 THEN replace(phone, '-', '') WHEN 6 THEN concat(' +1 ', phone) ELSE phone END AS phone
+  FROM shaped)"""
+
+
+@query("WITH " + _SHAPES.format(S="VARCHAR", DAY="strftime(o_orderdate, '%Y-%m-%d')") + """
+SELECT o_orderkey, kind, code, day, phone FROM shaped WHERE kind < 7""")
+def induced_repairs(spark, sf):
+    """Prefixes, suffixes, date formats and separators are mended by chains found from the values alone."""
+    orders = X.table(spark, sf, "orders")
+    view = F.date_format("o_orderdate", "yyyy-MM-dd")
+    parts = {"S": "STRING", "DAY": "day"}
+    sql = "WITH " + ", ".join(t.format(**parts) for t in (_SHAPES, _CAME)) + " SELECT * FROM came"
+    came = spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=orders.withColumn("day", view))
+    checks = [
+        X.check("code_shape", "matches_regex", column="code", pattern="^[0-9]{5}$"),
+        X.check("day_shape", "matches_regex", column="day", pattern="^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+        X.check("phone_shape", "matches_regex", column="phone", pattern="^[0-9]{3}-[0-9]{4}$"),
+    ]
+    out = None
+    for kind in range(7):  # every source has its own way to be wrong
+        good, bad = split(came.filter(F.col("kind").isin(kind, 7)), checks)
+        rows = curate.with_signature(bad.withColumn("rule_violations", F.transform("_error", lambda e: e["name"])))
+        rows = rows.withColumn("row_id", F.col("o_orderkey").cast("string"))
+        found = induce.induced_candidates(rows, good, checks)
+        decided = curate.apply_proposals(rows, curate.search_transforms(rows, checks, found))
+        mended = reingest.apply_patch(
+            rows.select("row_id", "o_orderkey", "kind", "code", "day", "phone").join(decided.select("row_id", "proposed_fix"), "row_id"),
+            columns=["o_orderkey", "kind", "code", "day", "phone"],
+        ).select("o_orderkey", "kind", "code", "day", "phone")
+        out = mended if out is None else out.unionByName(mended)
+    return out
+
+
 # Proposals for the derived order table, keyed by signature.
 PROPOSALS = [
     ("code_not_matching_regex", "fix",

@@ -314,9 +314,8 @@ def approved_checks(spark, sf):
     """The checks a validation of two tables would enforce, as the evaluator gets them."""
     table = X.frame(spark, sf, "RULES").filter(F.col("check").contains("check"))
     marked = table.withColumn("check", F.regexp_replace("check", '"name":"', F.concat(F.lit('"name":"'), "rule_id", F.lit("~"))))
-    found = rules.approved_checks_for(marked, ["main.silver.brand3", " main.silver.brand2 "])
-    listed = [tuple(c["name"].split("~", 1)) for c in found]
-    return spark.createDataFrame(listed, "rule_id string, name string")
+    found = rules.approved_checks(marked, ["main.silver.brand3", " main.silver.brand2 "])
+    return found.select(F.split_part("name", F.lit("~"), F.lit(1)).alias("rule_id"), F.split_part("name", F.lit("~"), F.lit(2)).alias("name"))
 
 
 @query("""WITH e AS (SELECT p_brand AS dataset, p_type AS rule_name, sum(p_size) AS n FROM part GROUP BY ALL)
@@ -334,12 +333,7 @@ def playbook_loaded(spark, sf):
         F.create_map().cast("map<string,string>").alias("params"),
         F.lit(None).cast("array<string>").alias("match_fqns"),
     )
-    entries = tables.cut_lineage(entries)
-    datasets = [r[0] for r in entries.select("dataset").distinct().collect()]
-    listed = [
-        (d, e["rule_name"], i + 1) for d in datasets for i, e in enumerate(playbooks.playbook_entries(entries, d))
-    ]
-    return spark.createDataFrame(listed, "dataset string, rule_name string, place int")
+    return playbooks.ranked_entries(entries).select("dataset", "rule_name", "place")
 
 
 @query(DIRTY + """SELECT order_id, status, NULL AS code FROM dirty WHERE order_id % 2 = 0
