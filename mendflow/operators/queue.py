@@ -45,6 +45,25 @@ def triage(
     return triage_latest(latest_quarantined(quarantine), queue, quarantine_fqn, run_id, as_of, requeue)
 
 
+def waiting_appends(rows: DataFrame, queue: DataFrame, quarantine_fqn: str, came_with: str) -> DataFrame:
+    """Appends with rows that are newer than what the queue holds of them while that is still open.
+
+    Once it is closed such a row is queued again, so its append has to be read again.
+    """
+    done = F.col("status").isin(*S.TERMINAL_STATUSES)
+    tracked = queue.filter(F.col("quarantine_fqn") == quarantine_fqn)
+    seen = tracked.groupBy("row_id").agg(F.bool_and(done).alias("__done"), F.max("quarantine_generated_at").alias("__seen_at"))
+    ids = rows.select(F.col(S.ROW_ID).alias("row_id"), F.col(S.GENERATED_AT).alias("__at"), came_with)
+    held = ids.join(seen, "row_id").filter(~F.col("__done") & (F.col("__at") > F.col("__seen_at")))
+    return held.select(came_with).distinct()
+
+
+def latest_of(quarantine: DataFrame, ids: DataFrame) -> DataFrame:
+    """Newest version of the quarantined rows with these ``row_id``; rows of other ids are not shuffled."""
+    wanted = ids.select(F.col("row_id").alias(S.ROW_ID)).distinct()
+    return latest_quarantined(quarantine.join(wanted, S.ROW_ID, "left_semi"))
+
+
 def triage_latest(
     latest: DataFrame,
     queue: DataFrame,

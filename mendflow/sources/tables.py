@@ -123,10 +123,10 @@ def drop_old_versions(spark: SparkSession, fqn: str, keep: int = 1) -> None:
 
 def partition_columns(spark: SparkSession, fqn: str) -> list[str]:
     """The columns a table is partitioned by, except the number of the append."""
-    return [c for c in _all_partition_columns(spark, fqn) if c != APPEND]
+    return [c for c in all_partition_columns(spark, fqn) if c != APPEND]
 
 
-def _all_partition_columns(spark: SparkSession, fqn: str) -> list[str]:
+def all_partition_columns(spark: SparkSession, fqn: str) -> list[str]:
     listed = spark.catalog.listColumns(table_name(spark, fqn).replace("`", ""))
     return [c.name for c in listed if c.isPartition]
 
@@ -179,7 +179,7 @@ def append(df: DataFrame, fqn: str) -> None:
         create_partitioned(spark, fqn, df.schema, APPEND)
     # Columns the frame lacks become typed nulls; insertInto matches by position.
     schema = _widen(spark, fqn, df.schema)
-    parts = _all_partition_columns(spark, fqn)
+    parts = all_partition_columns(spark, fqn)
     aligned = df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -229,7 +229,7 @@ def replace(df: DataFrame, fqn: str, keep_versions: int = 1) -> None:
         _create(spark, fqn, df, folder)
         return
     name = table_name(spark, fqn)
-    if _all_partition_columns(spark, fqn) == [APPEND]:
+    if all_partition_columns(spark, fqn) == [APPEND]:
         _replace_appends(df, fqn, folder)
         return
     parts = partition_columns(spark, fqn)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mendflow import schemas as S
 from mendflow.functions import transforms
-from mendflow.operators import curate, induce, lookup, playbook, probe, reingest
+from mendflow.operators import curate, induce, lookup, playbook, probe, profile, reingest
 from mendflow.operators import queue as Q
 from mendflow.operators.checks import split
 from workloads import fixtures as X
@@ -386,6 +386,33 @@ def parse_nested_replies(spark, sf):
     return curate.parse_replies(replies).select("signature", "decision", "confidence", "reasoning")
 
 
+@query(X.prelude() + r""", v AS (SELECT status AS signature, unnest([
+    {'column': 'code', 'value': code}, {'column': 'priority', 'value': priority}, {'column': 'customer_id', 'value': customer_id::VARCHAR}]) AS x
+  FROM dirty WHERE order_id % 30 < 10), s AS (SELECT signature, x.column AS "column", x.value AS value, array_to_string(list_transform(
+    regexp_extract_all(x.value, '[0-9]+|[A-Z]+|[a-z]+|\s+|.'), lambda t: CASE WHEN regexp_matches(t, '^[0-9]') THEN 'D' || length(t)
+      WHEN regexp_matches(t, '^[A-Z]') THEN 'U' || length(t) WHEN regexp_matches(t, '^[a-z]') THEN 'L' || length(t)
+      WHEN regexp_matches(t, '^\s') THEN 'S' || length(t) ELSE '=' || t END), chr(9)) AS shape FROM v),
+t AS (SELECT signature, "column", shape, count(*) AS n FROM s WHERE value IS NOT NULL GROUP BY ALL),
+b AS (SELECT *, row_number() OVER (PARTITION BY signature, "column" ORDER BY n DESC, shape) AS r FROM t)
+SELECT signature, "column", count(*) AS n_rows, count(*) FILTER (WHERE value IS NULL) AS n_nulls,
+  count(DISTINCT value) AS n_distinct, max(b.shape) AS shape, max(b.n) AS shape_rows,
+  min(TRY_CAST(value AS DOUBLE)) AS least, max(TRY_CAST(value AS DOUBLE)) AS most
+FROM s JOIN b USING (signature, "column") WHERE b.r = 1 GROUP BY signature, "column" HAVING count(*) < 1000""")
+def signature_patterns(spark, sf):
+    """Profiles of three appends, merged: rows, nulls, distinct values, commonest shape and range of each column."""
+    rows = X.frame(spark, sf, "DIRTY").withColumnRenamed("status", "signature")
+    parts = [
+        profile.profile(rows.filter(F.col("order_id") % 30 % 3 == i).filter("order_id % 30 < 10"), ["code", "priority", "customer_id"])
+        for i in range(3)
+    ]
+    found = profile.read_profile(profile.merge_profiles(parts), shapes=20).filter("n_rows < 1000")
+    first = F.get("shapes", F.lit(0))
+    return found.filter("signature is not null").select(
+        "signature", "column", "n_rows", "n_nulls", "n_distinct", first["shape"].alias("shape"), first["n_rows"].alias("shape_rows"),
+        F.get("quantiles", F.lit(0)).alias("least"), F.get("quantiles", F.lit(2)).alias("most"),
+    )
+
+
 #: Order lines' texts as they should be, and as they came: eight ways to be wrong.
 _SHAPES = """shaped AS (SELECT o_orderkey % 8 AS kind, o_orderkey, lpad(CAST(o_orderkey % 10000 AS {S}), 5, '0') AS code,
   {DAY} AS day, concat(CAST(100 + o_custkey % 900 AS {S}), '-', CAST(1000 + o_orderkey % 9000 AS {S})) AS phone FROM orders)"""
