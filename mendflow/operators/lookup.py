@@ -29,6 +29,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mendflow.sources import tables
+
 #: Rows of one key that one task may get.
 TASK_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -127,6 +129,45 @@ def matching_keys(
     return target.select(*on).distinct().join(wanted.distinct(), on, "left_semi")
 
 
+#: Places of a key filter: 4096 pieces of 4 KB at most, however many keys there are.
+FILTER_BITS = 27
+
+
+def split_by_keys(
+    target: DataFrame, rows: DataFrame, on: Sequence[str], bits: int = FILTER_BITS
+) -> tuple[DataFrame, DataFrame]:
+    """The target's rows whose key may be among those of ``rows``, and those whose key cannot be.
+
+    The least and greatest key reach the target's scan; within them a bitmap of key hashes, of a
+    fixed size, is sent to all tasks. So only rows that may match are left for a shuffle. Keys with
+    a null match nothing.
+    """
+    on = list(on)
+    types = dict(target.dtypes)
+    keys = rows.select(*[F.col(k).try_cast(types[k]).alias(k) for k in on]).filter(~any_null(on))
+    ranged = [k for k in on if not types[k].startswith(("array", "struct", "map", "variant", "binary", "boolean"))]
+    ends = keys.agg(*[f(k).alias(f"{n}_{i}") for i, k in enumerate(ranged) for n, f in (("a", F.min), ("b", F.max))]).head() if ranged else None
+    inside = ~any_null(on)
+    for i, k in enumerate(ranged):
+        inside = inside & F.col(k).between(F.lit(ends[f"a_{i}"]).cast(types[k]), F.lit(ends[f"b_{i}"]).cast(types[k]))
+    outside = ~F.coalesce(inside, F.lit(False))
+
+    place = F.pmod(F.xxhash64(*on), F.lit(2**bits))
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    maps = keys.groupBy(bucket.alias("__piece")).agg(F.bitmap_construct_agg(bit).alias("__map"))
+    maps = tables.cut_lineage(maps)
+    octet = F.conv(F.hex(F.substring("__map", F.floor(F.col("__bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(octet.bitwiseAND(F.pow(F.lit(2), F.col("__bit") % 8).cast("int")) != 0, F.lit(False))
+
+    def looked_up(frame: DataFrame) -> DataFrame:
+        placed = frame.withColumns({"__piece": bucket, "__bit": bit})
+        return placed.join(F.broadcast(maps), "__piece", "left").withColumn("__hit_bit", hit).select(*frame.columns, "__hit_bit")
+
+    maybe = looked_up(target.filter(inside)).filter("__hit_bit").drop("__hit_bit")
+    never = target.filter(outside).unionByName(looked_up(target.filter(inside)).filter("not __hit_bit").drop("__hit_bit"))
+    return maybe, never
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,

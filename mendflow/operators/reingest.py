@@ -17,6 +17,7 @@ from mendflow.operators.lookup import (
     is_small,
     lookup_join,
     matching_keys,
+    split_by_keys,
 )
 
 
@@ -261,19 +262,25 @@ def merge_counts(split: DataFrame) -> DataFrame:
     )
 
 
-def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, staged: DataFrame, keys: Sequence[str], small: bool | None = None
+) -> DataFrame:
     """The target after the merge: matched rows take the staged values, others are added.
 
     Target columns the staged rows lack stay as they are. Target rows may repeat a key or hold
     nulls in it; staged rows are unique per key, which ``judge`` sees to. Without non-key columns
     only inserts happen. The staged rows are measured once; a small batch is sent to the target's
-    tasks, which then is not shuffled.
+    tasks, which then is not shuffled. Of a large one the target's tasks get the range and a bitmap of
+    the keys, and only target rows that may match are shuffled.
     """
     keys = list(keys)
     common = [c for c in staged.columns if c in target.columns]
     values = [c for c in common if c not in keys]
     source = staged.select(*common).filter(~any_null(keys))
-    small = is_small(source)
+    small = is_small(source) if small is None else small
+    never = None
+    if not small:
+        target, never = split_by_keys(target, source, keys)
     kept = target
     if values:
         renamed = source.select(
@@ -296,7 +303,8 @@ def merge_upsert(target: DataFrame, staged: DataFrame, keys: Sequence[str]) -> D
             for f in target.schema
         ]
     )
-    return kept.unionByName(aligned)
+    merged = kept.unionByName(aligned)
+    return merged if never is None else merged.unionByName(never)
 
 
 def merge_sql(target: str, source: str, columns: Sequence[str], keys: Sequence[str]) -> str:

@@ -448,3 +448,23 @@ def test_rule_names_with_bars_are_one_rule(spark):
     assert [(r["signature"], r["decision"]) for r in found] == [("a|b", "fix")]
     mixed = rows_.unionByName(spark.createDataFrame([("z003", ["a", "b"])], rows_.schema))
     assert [r["decision"] for r in curate.search_transforms(curate.with_signature(mixed), [one]).collect()] == ["escalate"]
+
+
+# --- merges too large to send ---------------------------------------------------------------------
+
+def test_large_merges_shuffle_what_may_match(spark, tmp_path):
+    target = spark.range(2000).selectExpr("IF(id % 50 = 0, NULL, id) AS k", "concat('k', id % 7) AS s", "id AS v", "'old' AS w")
+    target.coalesce(4).sortWithinPartitions("k").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    staged = spark.range(900, 1100).selectExpr("cast(id * 2 - 900 AS int) AS k", "concat('k', (id * 2 - 900) % 7) AS s", "-id AS v")
+    staged = staged.unionByName(spark.createDataFrame([(None, "k1", -1), (5000, None, -2), (5000, "k9", -3)], "k int, s string, v long"))
+    want = rows(reingest.merge_upsert(target, staged, ["k", "s"], small=True))
+    assert rows(reingest.merge_upsert(target, staged, ["k", "s"], small=False)) == want
+    maybe, never = lookup.split_by_keys(target, staged, ["k", "s"])
+    assert maybe.count() + never.count() == 2000 and maybe.count() <= 220
+    plan = maybe._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,900)" in plan and "Exchange hashpartitioning" not in plan
+    few = lookup.split_by_keys(target, staged, ["k", "s"], bits=3)[0]  # a filter that is too small lets more through
+    assert set(rows(maybe)) <= set(rows(few))
+    nothing = lookup.split_by_keys(target, staged.limit(0), ["k", "s"])
+    assert nothing[0].isEmpty() and nothing[1].count() == 2000

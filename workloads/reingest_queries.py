@@ -211,6 +211,16 @@ def merge_upsert(spark, sf):
     )
 
 
+@query(X.prelude(ROUTED, PATCHED, STAGED, MERGED) + "SELECT * FROM merged")
+def merge_filtered(spark, sf):
+    """The same merge as one whose staged rows are too many to send: range and bitmap of the keys come first."""
+    silver = X.frame(spark, sf, "SILVER")
+    aligned, _ = reingest.align_to_target(_staged(spark, sf), silver, ["order_id"])
+    return reingest.merge_upsert(silver, aligned, ["order_id"], small=False).select(
+        "order_id", "customer_id", "priority", "amount", "status", "code", "agent_curated", "confidence", "channel"
+    )
+
+
 @query("""WITH l AS (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem WHERE l_returnflag = 'R'),
 a AS (SELECT DISTINCT l_orderkey AS o, l_suppkey AS s FROM lineitem WHERE l_returnflag = 'A')
 SELECT o, s, count(*) AS n FROM (SELECT o, s FROM l UNION ALL SELECT o, s FROM a WHERE (o, s) NOT IN (SELECT (o, s) FROM l)) GROUP BY o, s""")
