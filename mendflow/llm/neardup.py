@@ -10,8 +10,8 @@ Signatures are cut into bands; texts that share a band are candidates. A bucket
 a number of pairs in proportion to its members: each is paired with the bucket's most connected
 text, then, if that left them in different classes, with texts drawn by hash, which differ from
 bucket to bucket. What is then still in different classes is compared exactly: in buckets of at
-most ``SMALL`` members all pairs, in the others all that an exact prefix join on the rarest shingles
-of all their members finds, so no pair depends on a drawn text. A pair counts if the Jaccard similarity of the two texts' distinct shingles,
+most ``SMALL`` members all pairs, in the others, of which those that share members are one group, all
+pairs by blocks, so no pair depends on a drawn text. A pair counts if the Jaccard similarity of the two texts' distinct shingles,
 computed from the whole texts, is at least ``SIMILARITY``. Classes are the connected components.
 
 Exact copies are one text from the start, so thousands of copies cost one row a task. Texts of
@@ -23,15 +23,15 @@ don't matter.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendflow.llm.components import components
+from mendflow.llm.runs import runs
 from mendflow.llm.words import CHAIN, STEP, Words, mixed, pieces, text_key, windows, words_of
 from mendflow.sources.tables import cut_lineage
 
@@ -42,10 +42,8 @@ BANDS, ROWS = 24, 5
 DRAWN = 3
 #: Members up to which all pairs of a bucket that are in different classes are compared.
 SMALL = 16
-#: Texts whose numbers of distinct shingles differ by less than this factor are in one size class.
-SIZE_STEP = 1.05
-#: Size classes that similar texts can be apart.
-CLASSES_APART = math.floor(-math.log(SIMILARITY) / math.log(SIZE_STEP)) + 1
+#: Texts in a block that is compared with another one, and numbers of a matrix that is held for it.
+BLOCK, DENSE_NUMBERS = 512, 1 << 22
 
 
 def shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -120,15 +118,6 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in pieces(batch, "text", 1 << 20):
-            owner, hashes = shingles(words_of(piece.column(1)))
-            one = distinct(owner, hashes)[1]
-            columns = [piece.column(0).take(pa.array(owner[one])), pa.array(hashes[one].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "element"])
-
-
 def jaccard(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Similarity of the distinct shingles of each pair of texts."""
     sets = [distinct(*found) + (found[0],) for found in (shingles(words_of(a)), shingles(words_of(b)))]
@@ -192,43 +181,105 @@ def _across(sides: tuple[DataFrame, DataFrame], by: list[str]) -> DataFrame:
     )
 
 
-def _prefix_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """All pairs of texts in different classes that can be similar.
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct shingles of each text as sorted 64-bit hashes."""
+    for batch in batches:
+        for piece in pieces(batch, "text", 1 << 20):
+            owner, hashes = shingles(words_of(piece.column(1)))
+            one = distinct(owner, hashes)[1]
+            order = one[np.lexsort((hashes[one], owner[one]))]
+            cuts = np.searchsorted(owner[order], np.arange(1, len(piece)))
+            own = [x.tobytes() for x in np.split(hashes[order], cuts)]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(own, pa.large_binary())], names=["key", "elements"])
+
+
+def _dense(which: np.ndarray, column: np.ndarray, rows: int, columns: int) -> np.ndarray:
+    out = np.zeros((rows, columns), np.float32)
+    out[which, column] = 1
+    return out
+
+
+def similar_between(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Which set of one list is similar to which of the other; only elements of both lists are looked at."""
+    sizes = [np.array([len(x) for x in side], np.int64) for side in (a, b)]
+    flat = [np.concatenate(side) for side in (a, b)]
+    owner = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    vocabulary = np.intersect1d(*[np.unique(x) for x in flat], assume_unique=True)
+    near = np.zeros((len(a), len(b)), bool)
+    if not len(vocabulary):
+        return near
+    at = []
+    for x, o in zip(flat, owner, strict=True):
+        where = np.minimum(np.searchsorted(vocabulary, x), len(vocabulary) - 1)
+        known = vocabulary[where] == x
+        at.append((o[known], where[known]))
+    step = max(1, DENSE_NUMBERS // len(vocabulary))
+    for s in range(0, len(b), step):
+        some = (at[1][0] >= s) & (at[1][0] < s + step)
+        right = _dense(at[1][0][some] - s, at[1][1][some], min(step, len(b) - s), len(vocabulary))
+        for r in range(0, len(a), step):
+            some = (at[0][0] >= r) & (at[0][0] < r + step)
+            left = _dense(at[0][0][some] - r, at[0][1][some], min(step, len(a) - r), len(vocabulary))
+            shared = (left @ right.T).astype(np.int64)
+            total = sizes[0][r : r + step, None] + sizes[1][None, s : s + step] - shared
+            near[r : r + step, s : s + step] = shared >= SIMILARITY * np.maximum(total, 1)
+    return near
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Similar pairs between the two sides of each block, enough to connect the classes that they connect."""
+
+    def work(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        side = rows.column("side").to_numpy()
+        one, other = (rows.filter(pa.array(side == s)) for s in (0, 1))
+        if not len(one) or not len(other):
+            return
+        sets = [[np.frombuffer(x.as_py(), np.uint64) for x in half.column("elements")] for half in (one, other)]
+        names, label = np.unique([str(x) for half in (one, other) for x in half.column("root").to_pylist()], return_inverse=True)
+        label_a, label_b = label[: len(one)], label[len(one) :]
+        i, j = np.nonzero(similar_between(*sets) & (label_a[:, None] != label_b[None, :]))
+        low, high = np.minimum(label_a[i], label_b[j]), np.maximum(label_a[i], label_b[j])
+        kept = np.unique(low.astype(np.int64) * len(names) + high, return_index=True)[1]
+        yield pa.RecordBatch.from_arrays(
+            [one.column("key").take(pa.array(i[kept])), other.column("key").take(pa.array(j[kept]))], names=["a", "b"]
+        )
+
+    return runs(batches, ["g1", "g2", "i", "j"], work)
+
 
-    Two similar texts share so many shingles that the rarest shared one is among the rarest of
-    both. How many of these must be looked at depends on the two sizes, so it is by size classes.
+def _group_links(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of similar texts in different classes, among all texts of buckets that share members.
+
+    A group's texts outside its largest class are compared with all of the group, block by block, as
+    sets of shingles; a block hands on one pair for each two classes it connects, never its pairs.
     """
-    wanted = texts.join(rows.select("key"), "key", "left_semi")
-    each = cut_lineage(wanted.select("key", "text").mapInArrow(_elements, "key struct<k1:long,k2:long>, element long"))
-    often = each.groupBy("element").agg(F.count("*").alias("often")).filter("often > 1")
-    ordered = (
-        each.join(often, "element", "left")
-        .groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"), "element"))).alias("elements"))
-    )
-    lower = F.floor(F.pow(F.lit(SIZE_STEP), F.col("other")))  # least size of the other text's class
-    least = F.greatest(lower, F.ceil(SIMILARITY * F.col("size") - 1e-6))
-    shared = F.ceil(SIMILARITY / (1 + SIMILARITY) * (F.col("size") + least) - 1e-6)
-    prefixes = (
-        ordered.join(rows, "key")
-        .withColumn("own", F.floor(F.log(F.col("size").cast("double")) / math.log(SIZE_STEP) + 1e-9))
-        .withColumn("apart", F.explode(F.sequence(F.lit(-CLASSES_APART), F.lit(CLASSES_APART))))
-        .withColumn("other", F.col("own") + F.col("apart"))
-        .withColumn("length", (F.col("size") - shared + 1).cast("int"))
-        .filter("other >= 0 and length > 0")
-        .select(
-            "key",
-            "root",
-            "size",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            F.explode(F.slice("elements", F.lit(1), F.col("length"))).alias("x"),
-        )
-        .filter("x.often > 1")
-        .select("x.element", "low", "high", "key", "root", "size")
-    )
-    by = ["element", "low", "high"]
-    return _across(_sided(cut_lineage(prefixes), by), by)
+    least = members.groupBy("bucket").agg(F.min("key").alias("least"))
+    groups = components(members.join(least, "bucket").select(F.col("key").alias("a"), F.col("least").alias("b")))
+    rows = members.select("key", "root").distinct().join(groups.select(F.col("node").alias("key"), F.col("root").alias("g")), "key")
+    few, own = _sided(cut_lineage(rows), ["g"])
+    counts = few.groupBy("g").agg(F.count("*").alias("few")).join(own.groupBy("g").agg(F.count("*").alias("own")), "g")
+    counts = cut_lineage(counts)
+    wanted = texts.join(own.select("key"), "key", "left_semi").select("key", "text")
+    sets = cut_lineage(wanted.mapInArrow(_sets, "key struct<k1:long,k2:long>, elements binary"))
+
+    def blocks(n: str) -> Column:
+        return F.ceil(F.col(n) / BLOCK)
+
+    def dealt(n: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit("block"), "key"), blocks(n))
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+
+    columns = ["key", "root", "elements"]
+    sides = []
+    for side, x, i, j in ((0, few, dealt("few"), every("own")), (1, own, every("few"), dealt("own"))):
+        full = x.select("g", "key", "root").join(counts, "g").join(sets, "key")
+        sides.append(full.select("g.k1", "g.k2", i.alias("i"), j.alias("j"), F.lit(side).alias("side"), *columns))
+    by = ["g1", "g2", "i", "j"]
+    both = sides[0].unionByName(sides[1]).withColumnsRenamed({"k1": "g1", "k2": "g2"})
+    ordered = both.repartition(*by).sortWithinPartitions(*by)
+    return cut_lineage(ordered.mapInArrow(_block_links, "a struct<k1:long,k2:long>, b struct<k1:long,k2:long>"))
 
 
 def similar_texts(docs: DataFrame) -> DataFrame:
@@ -274,8 +325,8 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     if rest.isEmpty():
         return roots
     left = _across(_sided(rest.filter(F.col("n") <= SMALL), ["bucket"]), ["bucket"])
-    left = left.unionByName(_prefix_pairs(rest.filter(F.col("n") > SMALL).select("key", "root", "size").distinct(), texts))
-    return components(known.unionByName(_verified(left.distinct().join(first, ["a", "b"], "left_anti"), texts)))
+    near = known.unionByName(_verified(left.join(first, ["a", "b"], "left_anti"), texts))
+    return components(near.unionByName(_group_links(rest.filter(F.col("n") > SMALL), texts)))
 
 
 def _rooted(docs: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ other columns don't matter.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mendflow.llm.components import components
+from mendflow.llm.runs import runs
 from mendflow.sources.tables import cut_lineage
 
 SIMILARITY = 0.95
@@ -169,30 +170,11 @@ def _links(rows: pa.RecordBatch, window: int, similarity: float, part: int) -> I
         yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in _FOUND.split(", ")])
 
 
-def _groups(batches: Iterator[pa.RecordBatch], by: list[str], work: Callable) -> Iterator[pa.RecordBatch]:
-    """``work`` on each run of rows with equal keys, which follow each other; one run is held."""
-    held = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        whole = batch if held is None else pa.concat_batches([held, batch])
-        change = np.zeros(len(whole) - 1, bool)
-        for c in by:
-            x = whole.column(c).to_numpy()
-            change |= x[1:] != x[:-1]
-        starts = np.append(0, np.flatnonzero(change) + 1).tolist()
-        for a, b in zip(starts, starts[1:], strict=False):
-            yield from work(whole.slice(a, b - a))
-        held = whole.slice(starts[-1])
-    if held is not None:
-        yield from work(held)
-
-
 def _across(window: int, similarity: float):
     """Links between the end of one partition and the beginning of the next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for found in _groups(batches, ["edge"], lambda rows: _links(rows, window, similarity, 0)):
+        for found in runs(batches, ["edge"], lambda rows: _links(rows, window, similarity, 0)):
             yield found.select(["a1", "a2", "b1", "b2"])
 
     return run
@@ -232,7 +214,7 @@ def _small_counts(similarity: float):
                 [own.column("k1"), own.column("k2"), pa.array(near @ copies[which] - 1)], names=["k1", "k2", "n_links"]
             )
 
-    return lambda batches: _groups(batches, ["r1", "r2"], work)
+    return lambda batches: runs(batches, ["r1", "r2"], work)
 
 
 def _block_counts(similarity: float):
@@ -255,7 +237,7 @@ def _block_counts(similarity: float):
         ):
             yield pa.RecordBatch.from_arrays([x.column("k1"), x.column("k2"), pa.array(n)], names=["k1", "k2", "n_links"])
 
-    return lambda batches: _groups(batches, ["r1", "r2", "i", "j"], work)
+    return lambda batches: runs(batches, ["r1", "r2", "i", "j"], work)
 
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
