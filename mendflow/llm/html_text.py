@@ -61,6 +61,7 @@ _CHROME_NAMES = frozenset(
     "share sharing social newsletter subscribe subscription signup login search pagination pager toolbar widget "
     "widgets copyright".split()
 )
+_ABOUT = frozenset("has have no not with without is show hide after before".split())
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 
 
@@ -76,9 +77,23 @@ def _is_chrome(tag: str, attributes: str) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            if not _CHROME_NAMES.isdisjoint(re.split(r"[\s_-]+", value)):
-                return True
+    return False
+
+
+@lru_cache(maxsize=4096)
+def _is_named_chrome(tag: str, attributes: str) -> bool:
+    """Whether a whole class name or id, or the last word of one, is that of chrome.
+
+    Names such as ``has-sidebar`` or ``no-header`` tell of a page, not of what the element is.
+    """
+    if tag in ("html", "body", "article", "main"):
+        return False
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if name.lower() in ("class", "id"):
+            for own in value.strip("\"'").lower().split():
+                parts = re.split(r"[_-]+", own)
+                if parts[-1] in _CHROME_NAMES and parts[0] not in _ABOUT:
+                    return True
     return False
 
 
@@ -86,8 +101,10 @@ def lines_of(page: str) -> list[tuple[str, int]]:
     """The lines of a page, white space collapsed, with the zone of each."""
     out: list[tuple[str, int]] = []
     buffer: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, whether it is chrome, whether it is the article
+    # Tag, whether it is chrome, whether it is the article, whether it is chrome by its name alone.
+    stack: list[tuple[str, bool, bool, bool]] = []
     chrome = article = 0
+    found = False
 
     def zone() -> int:
         return CHROME if chrome else ARTICLE if article else OTHER
@@ -101,7 +118,7 @@ def lines_of(page: str) -> list[tuple[str, int]]:
 
     def pop() -> None:
         nonlocal chrome, article
-        _, c, a = stack.pop()
+        _, c, a, _ = stack.pop()
         chrome, article = chrome - c, article - a
 
     def inside(mark: int, now: int) -> None:
@@ -128,10 +145,18 @@ def lines_of(page: str) -> list[tuple[str, int]]:
                     pop()
                 pop()
         elif tag not in _VOID and not m["attributes"].rstrip().endswith("/"):
-            c = _is_chrome(tag, m["attributes"])
+            sure = _is_chrome(tag, m["attributes"])
+            c = sure or _is_named_chrome(tag, m["attributes"])
             a = tag in ("article", "main")
+            if a and not found:
+                # What holds the page's first article is no chrome, whatever it is called.
+                for i, (t, old, of, named) in enumerate(stack):
+                    if named:
+                        stack[i] = (t, False, of, False)
+                        chrome -= old
+                found = not chrome
             if c or not (tag == "p" or tag in _LOOSE):
-                stack.append((tag, c, a))
+                stack.append((tag, c, a, c and not sure))
                 chrome, article = chrome + c, article + a
         inside(before, zone())
     buffer.append(page[last:])

@@ -94,6 +94,20 @@ def test_real_pages(spark):
         assert r.n_chars == len(r.text)
 
 
+def test_names_are_whole_words_and_never_hide_the_article(spark):
+    pages = {
+        '<div class="layout has-sidebar"><div class="left-sidebar">menu</div><article><p>text</article></div>': "text",
+        '<div id="page" class="no-header-image"><article>one</article></div>': "one",
+        '<div class="modal"><article>two</article></div>': "two",
+        '<article>kept <span class="ad-hoc">ad hoc</span> word<div class="site_footer">f</div></article>': "kept ad hoc word",
+        '<article>own</article><div id="comments"><article class="x">a comment</article></div>': "own",
+        "<nav><article>in a menu</article></nav><article>real</article>": "real",
+        "<article>" + "<p>long</p>" * 20_000 + "</article>": " ".join(["long"] * 20_000),
+    }
+    texts = got(spark, [(i, f"http://n{i}/a", page) for i, page in enumerate(pages)])
+    assert [texts[i] for i in range(len(pages))] == list(pages.values())
+
+
 def test_empty_table_and_malformed_pages(spark):
     assert got(spark, []) == {}
     odd = ["<", "<<<p", "<!--", "<script>x", "<div class='ad'>x", '<a title="x>y', "</p></div>text", "<article>" * 300 + "deep"]
