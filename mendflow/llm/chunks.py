@@ -3,8 +3,8 @@
 A chunk begins at a single space or a single line feed between two characters that aren't white
 space (of Unicode, not of ASCII alone), or where a text begins. A byte-level pre-tokenizer always
 splits there, so does a model none of whose pieces has a space or line feed after its first
-character; the chunks of a text are then worked on one by one, and any chunks in any order
-may be joined to one text. Results of frequent chunks are kept, those of rare ones forgotten.
+character; the chunks of a text are then worked on one by one, and any that begin with white space
+and end with none may be joined to one text, in any order. Results of frequent chunks are kept, those of rare ones forgotten.
 """
 
 from __future__ import annotations
@@ -138,12 +138,22 @@ class ChunkCache:
 
 
 def groups_of(chunks: Sequence[bytes], most: int) -> list[tuple[int, int]]:
-    """Runs of chunks of about ``most`` bytes together."""
+    """Runs of chunks of about ``most`` bytes together that may be joined.
+
+    A chunk that ends in white space, or begins a text without any, is a run of its own.
+    """
     ends = np.cumsum([len(c) for c in chunks])
-    cuts = [0, *(np.flatnonzero(np.diff((ends - 1) // most)) + 1).tolist(), len(chunks)]
+    alone = np.array([c[0] not in (0x20, 0x0A) or _ends_blank(c) for c in chunks], bool)
+    cut = np.diff((ends - 1) // most) > 0
+    cuts = [0, *(np.flatnonzero(cut | alone[1:] | alone[:-1]) + 1).tolist(), len(chunks)]
     return [(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
 
 
+def _ends_blank(chunk: bytes) -> bool:
+    last = chunk[-1]
+    return last < 0x21 or last > 0x7E and chunk.decode()[-1].isspace()
+
+
 def counts_by_chunk(chunks: Sequence[bytes], token_bytes: np.ndarray) -> np.ndarray:
     """How many tokens each chunk has, from the byte lengths of the tokens of all chunks joined."""
     ends = np.cumsum(token_bytes)

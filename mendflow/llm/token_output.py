@@ -1,6 +1,6 @@
 """Token ids of documents as canonical Huffman-coded binary files.
 
-Documents are ordered by ``doc_id`` (nulls first, ties by text) over range partitions; each task
+Documents are ordered by ``doc_id`` (nulls first, ties by text), or as they are stored, over range partitions; each task
 encodes its documents with the tokenizer, ends each with id 0 and packs whole documents into
 records. The id counts of all records give one code book. The coded records are written by
 Spark, so they are committed atomically to any store, and hold what their readers need::
@@ -10,9 +10,8 @@ Spark, so they are committed atomically to any store, and hold what their reader
                 lengths array<long>, checkpoints binary (bit offset of each block, uint64
                 little-endian), data binary
 
-Texts repeat their words, so a task tokenizes each distinct chunk once. A chunk is a stretch of
-text between places where the tokenizer's own pre-tokenizer always splits: before a single space
-or around a single line feed that stands between other characters. Results are those of encoding
+Texts repeat their words, so a task tokenizes each distinct chunk once (``chunks``), many chunks
+in one call. Results are those of encoding
 the whole text without adding special tokens; a control string in a text gets its own id, as the
 tokenizer gives it by default.
 
@@ -25,98 +24,60 @@ from __future__ import annotations
 import itertools
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mendflow.llm import huffman, words
+from mendflow.llm import chunks, huffman, words
 from mendflow.sources.tables import cut_lineage
 
 END_ID = 0
 #: Ids in a record, one document at least.
 RECORD_IDS = 1 << 18
-#: Chunks whose ids a Python worker keeps.
-CACHE_CHUNKS = 1 << 19
-#: Chunks given to the tokenizer at once; its results are much larger than the ids in them.
-ENCODED_AT_ONCE = 4096
-
-_BLANK = words.SEPARATOR.copy()
-_BLANK[0x1C:0x20] = True
-
-
-def chunks_of(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and lengths of the chunks, and the first chunk of each text."""
-    cut = np.zeros(len(buf) + 1, bool)
-    if len(buf) > 2:
-        blank = _BLANK[buf]
-        solid = np.ones(len(buf), bool)  # inside one text, between two bytes that aren't blank
-        solid[1:-1] = ~blank[:-2] & ~blank[2:]
-        edges = at[(at >= 0) & (at < len(buf))]
-        solid[edges] = False
-        solid[at[at > 0] - 1] = False
-        cut[:-1] |= solid & ((buf == 0x20) | (buf == 0x0A))
-        cut[1:] |= solid & (buf == 0x0A)
-    full = at[:-1][np.diff(at) > 0]
-    cut[full] = True
-    starts = np.flatnonzero(cut[:-1])
-    ends = np.append(starts[1:], len(buf))
-    return starts, ends - starts, np.searchsorted(starts, at)
-
+#: Bytes of chunks given to the tokenizer as one text, and texts at once; its results are much larger than the ids in them.
+TOGETHER, ENCODED_AT_ONCE = 1 << 10, 64
 
 class Encoder:
     """Ids of texts, with the ids of the chunks seen lately; control strings are ordinary text or, if not encoded, their own ids."""
 
-    def __init__(self, path: str, encode_special_tokens: bool = True):
+    def __init__(self, path: str, encode_special_tokens: bool = True, limit: int = 2 * chunks.CACHE_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = encode_special_tokens
-        self._forget()
-
-    def _forget(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.begin = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
-        sizes, ids = [], []
-        for i in range(0, len(texts), ENCODED_AT_ONCE):
-            found = self.tokenizer.encode_batch_fast(texts[i : i + ENCODED_AT_ONCE], add_special_tokens=False)
-            own = [e.ids for e in found]
-            sizes.append(np.fromiter(map(len, own), np.int64, len(own)))
-            ids.append(np.fromiter(itertools.chain.from_iterable(own), np.uint32))
-        size, flat = np.concatenate(sizes), np.concatenate(ids)
-        begin = len(self.flat) + np.cumsum(size) - size
-        where = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, where, keys)
-        self.begin, self.size = np.insert(self.begin, where, begin), np.insert(self.size, where, size)
-        self.flat = np.concatenate([self.flat, flat])
+        special = set(self.tokenizer.get_added_tokens_decoder())
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        # A byte-level vocabulary has one character for each byte, but for control strings.
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for text, i in vocabulary.items():
+            self.sizes[i] = len(text.encode()) if i in special else len(text)
+        self.cache = chunks.ChunkCache(self._learn, limit)
+
+    def _learn(self, new: Sequence[bytes]) -> dict:
+        """Ids of new chunks. Many are given to the tokenizer as one text, since it splits there anyway."""
+        groups = chunks.groups_of(new, TOGETHER)
+        ids, sizes = [], []
+        for i in range(0, len(groups), ENCODED_AT_ONCE):
+            part = groups[i : i + ENCODED_AT_ONCE]
+            texts = [b"".join(new[a:b]).decode() for a, b in part]
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            own = np.fromiter(itertools.chain.from_iterable(e.ids for e in found), np.int64)
+            sizes.append(chunks.counts_by_chunk(new[part[0][0] : part[-1][1]], self.sizes[own]))
+            ids.append(own.astype(np.uint32))
+        return {"ids": (np.concatenate(sizes), np.concatenate(ids))}
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has."""
         buf, at = words.text_buffer(column)
-        starts, lengths, first = chunks_of(buf, at)
-        keys, one, which = np.unique(words.span_hashes(buf, starts, lengths), return_index=True, return_inverse=True)
-        if len(self.keys) > CACHE_CHUNKS:
-            self._forget()
-        place = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
-        new = np.flatnonzero(self.keys[place] != keys) if len(self.keys) else np.arange(len(keys))
-        if len(new):
-            data = buf.tobytes()
-            spans = zip(starts[one[new]].tolist(), lengths[one[new]].tolist(), strict=True)
-            self._learn(keys[new], [data[s : s + n].decode() for s, n in spans])
-            place = np.searchsorted(self.keys, keys)
-        which = place[which]
-        size, begin = self.size[which], self.begin[which]
-        end = np.cumsum(size)
-        ids = self.flat[np.repeat(begin - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
-        ends = np.concatenate([[0], end])
-        return ids, np.diff(ends[first])
+        starts, lengths, first = chunks.chunks_of(buf, at)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(at) - 1, np.int64)
+        size, ids = self.cache.values("ids", self.cache.places(buf, starts, lengths))
+        return ids, np.diff(np.append(0, np.cumsum(size))[first])
 
 
 _encoders: dict[str, Encoder] = {}
@@ -196,14 +157,24 @@ def _coded(bits: np.ndarray):
     return run
 
 
-def write_token_ids(docs: DataFrame, folder: str, tokenizer_path: str) -> None:
-    """Write the files for ``docs`` (``doc_id``, ``text``) to a new folder that all executors reach."""
+def stored_order(docs: DataFrame) -> list[Column]:
+    """The order of the rows in the Parquet files that ``docs`` are read from, none if they are not."""
+    return [F.col(f"_metadata.{c}") for c in ("file_path", "row_index")] if docs.inputFiles() else []
+
+
+def write_token_ids(docs: DataFrame, folder: str, tokenizer_path: str, order: Sequence[Column] = ()) -> None:
+    """Write the files for ``docs`` (``doc_id``, ``text``) to a new folder that all executors reach.
+
+    Documents come in the given ``order``, by default by ``doc_id``.
+    """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [c.alias(f"by{i}") for i, c in enumerate([*order, F.col("doc_id").cast("long"), F.xxhash64("text")])]
+    names = [f"by{i}" for i in range(len(by))]
     ordered = (
-        docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("tie"))
-        .repartitionByRange(n, "doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *by)
+        .repartitionByRange(n, *names)
+        .sortWithinPartitions(*names)
         .select("doc_id", "text")
     )
     tokens = cut_lineage(ordered.mapInArrow(_tokenized(tokenizer_path), _TOKENS))

@@ -135,6 +135,15 @@ def test_very_long_texts(tokenizers):
         assert [measures[n][i] for n in ("n_a", "n_b", "n_links")] == [len(a), len(b), len(links_of(a, b))]
 
 
+def test_chunks_that_end_in_white_space_are_not_joined(tokenizers):
+    texts = [f"{a}{b}" for a in ("日", "«", "x", "ß") for b in (" ", "  ", "\n", "\n\n", "\u00a0", "")]
+    texts += [t[::-1] for t in texts] + [f"{t}{t}" for t in texts]
+    measures = alignment.Aligner(A, B).align(pa.array(texts))
+    for i, text in enumerate(texts):
+        a, b = tokens(text, tokenizers)
+        assert [measures[n][i] for n in ("n_a", "n_b", "n_links")] == [len(a), len(b), len(links_of(a, b))], text
+
+
 def test_forgotten_chunks_are_learnt_again(tokenizers):
     texts = [r[1] or "" for r in awkward()] + TRICKY
     wide, narrow = alignment.Aligner(A, B), alignment.Aligner(A, B, limit=20)
