@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mendflow.llm import decontaminate, mixing, neardup, quality, token_output
 from mendflow.llm.ship import ship
-from mendflow.sources.tables import scratch_folder
+from mendflow.sources.tables import delete_folder, scratch, scratch_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,10 +33,14 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' place, length and checksum in the coded files, read back from them."""
+    """The documents' place, length and checksum in the coded files, read back from them.
+
+    The files keep the order in which mixing has written the documents.
+    """
     ship(spark)
     folder = scratch_folder(spark)
-    token_output.write_token_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    token_output.write_token_ids(docs, folder, path, token_output.stored_order(docs))
     return token_output.read_token_ids(spark, folder)
 
 
@@ -53,10 +57,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; each stage is written as Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage; each stage is written as Parquet and read again by the next.
+
+    What a stage has read goes, with its scratch, as soon as its own rows are written.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
         folder = scratch_folder(spark)
-        stage(spark, docs, sf_dir).write.parquet(folder)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before is not None:
+            delete_folder(spark, before)
+        before = folder
     return docs

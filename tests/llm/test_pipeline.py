@@ -1,5 +1,7 @@
 """Each stage of the pipeline against a plain version on its own input."""
 
+import pathlib
+
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -54,6 +56,29 @@ def test_run_and_awkward_rows(spark, tmp_path):
     assert out.count() > 0
 
 
+def test_files_keep_the_mixed_order(spark, tmp_path):
+    docs = X.real_docs(spark)
+    corpus_pipeline.source_mixing(spark, docs, X.SF).write.parquet(f"{tmp_path}/mixed")
+    stored = spark.read.parquet(f"{tmp_path}/mixed")
+    want = [r.doc_id for r in stored.select("doc_id", "_metadata.file_path", "_metadata.row_index").orderBy("file_path", "row_index").collect()]
+    got = corpus_pipeline.token_ids(spark, stored, X.SF).orderBy("start").collect()
+    assert [r.doc_id for r in got] == want != sorted(want)
+    by_id = {r.doc_id: r.source for r in docs.collect()}
+    switches = sum(by_id[a] != by_id[b] for a, b in zip(want, want[1:], strict=False))
+    assert switches > 0.3 * len(want)  # sources are not side by side
+
+
+def test_run_leaves_one_folder(spark):
+    root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+
+    def folders():
+        return {p for p in root.iterdir() if any(p.rglob("*.parquet"))} if root.exists() else set()
+
+    before = folders()
+    assert corpus_pipeline.run(spark, X.SF).count() > 0
+    assert len(folders() - before) == 1
+
+
 def test_run_on_nothing(spark, tmp_path):
     X.empty_docs(spark).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{X.SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
