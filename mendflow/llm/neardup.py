@@ -42,8 +42,8 @@ BANDS, ROWS = 24, 5
 DRAWN = 3
 #: Members up to which all pairs of a bucket that are in different classes are compared.
 SMALL = 16
-#: Texts in a block that is compared with another one, and numbers of a matrix that is held for it.
-BLOCK, DENSE_NUMBERS = 512, 1 << 22
+#: Texts and shingles of a block that is compared with another one, and numbers of a matrix that is held for it.
+BLOCK, BLOCK_SHINGLES, DENSE_NUMBERS = 512, 1 << 18, 1 << 21
 
 
 def shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -255,21 +255,20 @@ def _group_links(members: DataFrame, texts: DataFrame) -> DataFrame:
     """
     least = members.groupBy("bucket").agg(F.min("key").alias("least"))
     groups = components(members.join(least, "bucket").select(F.col("key").alias("a"), F.col("least").alias("b")))
-    rows = members.select("key", "root").distinct().join(groups.select(F.col("node").alias("key"), F.col("root").alias("g")), "key")
+    rows = members.select("key", "root", "size").distinct().join(groups.select(F.col("node").alias("key"), F.col("root").alias("g")), "key")
     few, own = _sided(cut_lineage(rows), ["g"])
-    counts = few.groupBy("g").agg(F.count("*").alias("few")).join(own.groupBy("g").agg(F.count("*").alias("own")), "g")
+    # Long texts make smaller blocks.
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    counts = few.groupBy("g").agg(blocks.alias("few")).join(own.groupBy("g").agg(blocks.alias("own")), "g")
     counts = cut_lineage(counts)
     wanted = texts.join(own.select("key"), "key", "left_semi").select("key", "text")
     sets = cut_lineage(wanted.mapInArrow(_sets, "key struct<k1:long,k2:long>, elements binary"))
 
-    def blocks(n: str) -> Column:
-        return F.ceil(F.col(n) / BLOCK)
-
     def dealt(n: str) -> Column:
-        return F.pmod(F.xxhash64(F.lit("block"), "key"), blocks(n))
+        return F.pmod(F.xxhash64(F.lit("block"), "key"), F.col(n))
 
     def every(n: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
 
     columns = ["key", "root", "elements"]
     sides = []
