@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,39 +121,56 @@ def passing_examples(silver: DataFrame, columns: Sequence[str], n: int = S.PASSI
 REPLY_DDL = f"decision string, fixes {FIXES}, confidence double, reasoning string"
 
 
-# Pieces of a reply: escapes, quotes, braces, and what is between them.
-_REPLY_TOKENS = r"""(?s)\\.|["'{}]|[^\\"'{}]++|."""
 _STRING = r"""(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|'[^'\\]*+(?:\\.[^'\\]*+)*+')"""
 _PIECES = f"(?s){_STRING}|[^\"']+|."
 
 
-def _object_from(tokens: Column, start: Column) -> Column:
-    """Text of the object that opens at a token, null if it never closes: a depth counter and the open quote."""
-    begin = F.struct(F.lit(0).alias("depth"), F.lit("").alias("quote"), F.lit(0).alias("n"), F.lit(0).alias("length"))
-
-    def step(s: Column, t: Column) -> Column:
-        plain = s["quote"] == ""
-        depth = s["depth"] + F.when(~plain, 0).when(t == "{", 1).when(t == "}", -1).otherwise(0)
-        quote = F.when(plain & t.isin('"', "'"), t).when(~plain & (t == s["quote"]), "").otherwise(s["quote"])
-        closed = plain & (t == "}") & (depth == 0)
-        done = s["length"] > 0
-        return F.struct(
-            F.when(done, s["depth"]).otherwise(depth).alias("depth"),
-            F.when(done, s["quote"]).otherwise(quote).alias("quote"),
-            (s["n"] + 1).alias("n"),
-            F.when(~done & closed, s["n"] + 1).otherwise(s["length"]).alias("length"),
-        )
-
-    rest = F.slice(tokens, start, F.size(tokens))
-    length = F.aggregate(rest, begin, step, lambda s: s["length"])
-    return F.when(length > 0, F.array_join(F.slice(rest, F.lit(1), length), ""))
+def _scan():
+    """One pass over each text of an Arrow array; made here, so tasks get it without a copy of this module.
 
-
-def objects_in(text: str | Column) -> Column:
-    """Every object in a text, nested to any depth, in the order in which they open."""
-    text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    tokens = F.regexp_extract_all(text, F.lit(_REPLY_TOKENS), F.lit(0))
-    return F.array_compact(F.transform(tokens, lambda t, i: F.when(t == "{", _object_from(tokens, i + 1))))
+    To an object, quotes before its brace mean nothing. So open objects are on three stacks: those for which the scan is
+    outside a string, inside double and inside single quotes. A quote swaps two of them, a brace is for the first alone.
+    """
+    special = re.compile(rb"""\\.|["'{}]""", re.DOTALL)
+
+    def objects(text: bytes) -> list[bytes]:
+        if b"decision" not in text and b"\\" not in text:
+            return []
+        plain, double, single = [], [], []
+        begin = {b'"': 0, b"'": 0}  # of the string that a quote ends
+        found = []
+        for token in special.finditer(text):
+            c = token.group()
+            if c == b"{":
+                plain.append([token.start(), False])
+            elif c == b"}":
+                if plain:
+                    start, named = plain.pop()
+                    if named:
+                        found.append((start, token.end()))
+            elif c in begin:
+                inside = double if c == b'"' else single
+                if inside:
+                    string = text[begin[c] : token.start()]
+                    # The innermost object has this string; with escapes it may be any name.
+                    inside[-1][1] |= string == b"decision" or b"\\" in string
+                begin[c] = token.end()
+                if c == b'"':
+                    plain, double = double, plain
+                else:
+                    plain, single = single, plain
+        return [text[start:end] for start, end in sorted(found)]
+
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([objects(t) if t else [] for t in texts.to_pylist()], pa.list_(pa.binary()))
+
+    return run
+
+
+def decisions_in(text: str | Column) -> Column:
+    """Objects in a text that may name a decision, nested to any depth, in the order in which they open."""
+    found = F.arrow_udf(_scan(), "array<binary>")((F.col(text) if isinstance(text, str) else text).cast("binary"))
+    return found.cast("array<string>")
 
 
 def _literals_as_json(text: Column) -> Column:
@@ -173,11 +191,11 @@ def _literals_as_json(text: Column) -> Column:
 def parse_replies(replies: DataFrame, reply_col: str = "reply") -> DataFrame:
     """Decisions from text replies ``(signature, reply)``; prose around the object is ignored.
 
-    Every balanced object of the text, also those inside others, is tried in the order in which they open, and the
+    Every balanced object of the text, also those inside others, counts in the order in which they open, and the
     first that holds a decision wins; Python literals count as well as JSON. A reply without one escalates with confidence 0.
     """
     parsed = F.transform(
-        objects_in(reply_col), lambda x: F.from_json(_literals_as_json(x), REPLY_DDL, {"allowSingleQuotes": "true"})
+        decisions_in(reply_col), lambda x: F.from_json(_literals_as_json(x), REPLY_DDL, {"allowSingleQuotes": "true"})
     )
     first = F.get(F.filter(parsed, lambda r: r["decision"].isNotNull()), F.lit(0))
     good = F.col("r.decision").isNotNull()

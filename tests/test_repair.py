@@ -1,8 +1,15 @@
 """Playbook, transforms, proposals, patching and merging on small frames."""
 
 import datetime as dt
+import os
+import random
+import re
+import subprocess
+import sys
+import time
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from mendflow import schemas as S
@@ -441,6 +448,56 @@ def test_replies_of_any_depth(spark):
     ]
 
 
+def _objects_one_by_one(text):
+    """Objects that name a decision, each found by a scan of its own from its brace."""
+    tokens = list(re.finditer(r"""\\.|["'{}]|[^\\"'{}]+|.""", text, re.DOTALL))
+    found = []
+    for i, opening in enumerate(tokens):
+        depth, quote, begin, named = 0, "", 0, False
+        for token in tokens[i:] if opening.group() == "{" else ():
+            t = token.group()
+            if not quote and t in "{}":
+                depth += 1 if t == "{" else -1
+                if not depth:
+                    found += [text[opening.start() : token.end()]] if named else []
+                    break
+            elif not quote and t in "\"'":
+                quote, begin = t, token.end()
+            elif t == quote:
+                string = text[begin : token.start()]
+                named |= depth == 1 and (string == "decision" or "\\" in string)
+                quote = ""
+    return found
+
+
+def test_one_scan_finds_what_a_scan_for_each_brace_does(spark):
+    rng = random.Random(8)
+    parts = ["{", "{", "}", "}", '"', "'", "\\", '"decision"', "'decision'", "decision", " x: ", "é", "\n"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(5000)]
+    want = [_objects_one_by_one(t) for t in texts]
+    assert sum(map(bool, want)) > 100 and any(len(w) > 1 for w in want)
+    table = spark.createDataFrame(list(enumerate(texts)), "i int, reply string")
+    got = table.select("i", curate.decisions_in("reply").alias("found")).orderBy("i").collect()
+    assert [r["found"] for r in got] == want
+
+
+def test_many_braces_take_one_scan(spark):
+    start = time.time()
+    many = '{"a": [' * 4000
+    found = _decisions(spark, *[f'{many} {{"decision": "reject", "confidence": 0.{i}}}' for i in range(1, 9)])
+    assert found == [("reject", i / 10, "") for i in range(1, 9)]
+    assert time.time() - start < 30
+
+
+def test_tasks_need_no_copy_of_the_package_for_the_scan(tmp_path):
+    (tmp_path / "scan").write_bytes(cloudpickle.dumps(curate._scan()))
+    code = "import pickle, sys; import pyarrow as pa; run = pickle.load(open('scan', 'rb'));" + (
+        """print(run(pa.array([b'{"decision": 1}', None])).to_pylist(), 'mendflow' in sys.modules)"""
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""})
+    assert done.stdout.strip() == """[[b'{"decision": 1}'], []] False""", done.stderr
+
+
 def test_rule_names_with_bars_are_one_rule(spark):
     one = check("a|b", "matches_regex", column="code", pattern="^[0-9]{3}$")
     rows_ = spark.createDataFrame([("x001", ["a|b"]), ("y002", ["a|b"])], "code string, rule_violations array<string>")
