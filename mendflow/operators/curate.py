@@ -185,7 +185,8 @@ def _literals_as_json(text: Column) -> Column:
     def is_text(p: Column) -> Column:
         return F.substring(p, 1, 1).isin('"', "'")
 
-    return F.array_join(F.transform(pieces, lambda p: F.when(is_text(p), p).otherwise(plain(p))), "")
+    as_json = F.array_join(F.transform(pieces, lambda p: F.when(is_text(p), p).otherwise(plain(p))), "")
+    return F.when(text.rlike("None|True|False"), as_json).otherwise(text)
 
 
 def parse_replies(replies: DataFrame, reply_col: str = "reply") -> DataFrame:

@@ -489,6 +489,16 @@ def test_many_braces_take_one_scan(spark):
     assert time.time() - start < 30
 
 
+def test_long_texts_in_replies(spark):
+    """A long reasoning, many words of prose and objects around the decision; literals count only outside strings."""
+    start = time.time()
+    prose = "it's {None} of {'them': True} " * 2000
+    told = "None of " + "x" * 5000
+    found = _decisions(spark, *[prose + f"{{'decision': 'fix', 'final': True, 'confidence': 0.5, 'reasoning': \"{told}{i}\"}}" for i in range(8)])
+    assert found == [("fix", 0.5, f"{told}{i}") for i in range(8)]
+    assert time.time() - start < 30
+
+
 def test_tasks_need_no_copy_of_the_package_for_the_scan(tmp_path):
     (tmp_path / "scan").write_bytes(cloudpickle.dumps(curate._scan()))
     code = "import pickle, sys; import pyarrow as pa; run = pickle.load(open('scan', 'rb'));" + (
