@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping, Sequence
+from string import ascii_lowercase, ascii_uppercase, digits
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +27,9 @@ Chain = tuple[Mapping[str, str], ...]
 
 _CLASS = {"D": "[0-9]", "U": "[A-Z]", "L": "[a-z]", "S": "\\s"}
 _BREAK = "\t"
+_BLANKS = " \t\n\v\f\r"
+#: The characters of the classes, and the class of each.
+_CLASSES = digits + ascii_uppercase + ascii_lowercase + _BLANKS, "D" * 10 + "U" * 26 + "L" * 26 + "S" * len(_BLANKS)
 
 
 def shape_of(value: Column) -> Column:
@@ -47,7 +51,9 @@ def read_shape(text: str) -> Shape:
 
 def _commonest(values: DataFrame, by: str, n: int) -> dict[str, list[Shape]]:
     """The ``n`` commonest shapes of each group; at most that many rows a group are collected."""
-    counts = values.groupBy(by, shape_of(F.col("value")).alias("shape")).agg(F.count("*").alias("rows"))
+    # Rows are grouped by the classes of their characters; only one value of each such group is read as a shape.
+    classes = values.groupBy(by, F.translate("value", *_CLASSES).alias("classes")).agg(F.count("*").alias("rows"))
+    counts = classes.withColumn("shape", shape_of(F.translate("classes", "DULS", "0Aa ")))
     order = Window.partitionBy(by).orderBy(F.desc("rows"), "shape")
     found: dict[str, list[Shape]] = {}
     for r in counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).orderBy(by, "rank").collect():

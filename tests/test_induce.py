@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from mendflow.functions.transforms import chain
 from mendflow.operators import curate, induce
+from tests import oracle
 from tests.conftest import rows
 from workloads.fixtures import check
 
@@ -65,3 +67,16 @@ def test_proposals_from_the_data(spark):
     assert induce.induced_candidates(bad, good.limit(0), [one]) == {"phone": []}
     assert induce.induced_candidates(bad.limit(0), good, [one]) == {}
     assert induce.induced_candidates(bad, good.withColumnRenamed("phone", "other"), [one]) == {}
+
+
+def test_shapes_counted_by_classes_are_those_of_the_values(spark):
+    values = ["A1005", "b-2 É", "DULS", "0Aa ", "\t\v\f\r\n x", "é_Z9", "", "a$b", "  ", "A1006", " 1", "日本1"]
+    frame = spark.createDataFrame([("r", v) for v in values], "rule string, value string")
+    want = {induce.read_shape(r["s"]) for r in frame.select(induce.shape_of(F.col("value")).alias("s")).collect()}
+    found = induce._commonest(frame, "rule", 50)["r"]
+    assert set(found) == want and len(found) == len(want) and found[0] == (("U", 1), ("D", 4))
+
+
+def test_the_query_reads_the_orders_once(spark):
+    found = entry.queries()["induced_repairs"](spark, f"{oracle.TESTDATA}/sf0.001")
+    assert found.inputFiles() and not any("orders.parquet" in f for f in found.inputFiles())

@@ -9,6 +9,7 @@ from mendflow.functions import transforms
 from mendflow.operators import curate, induce, lookup, playbook, probe, profile, reingest
 from mendflow.operators import queue as Q
 from mendflow.operators.checks import split
+from mendflow.sources import tables
 from workloads import fixtures as X
 from workloads.registry import day, joined, names, query, sorted_map
 
@@ -433,6 +434,9 @@ def induced_repairs(spark, sf):
     parts = {"S": "STRING", "DAY": "day"}
     sql = "WITH " + ", ".join(t.format(**parts) for t in (_SHAPES, _CAME)) + " SELECT * FROM came"
     came = spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=orders.withColumn("day", view))
+    folder = tables.scratch_folder(spark)  # every source then reads its own rows, and the good ones
+    came.write.partitionBy("kind").parquet(folder)
+    came = spark.read.schema(came.schema).parquet(folder)
     checks = [
         X.check("code_shape", "matches_regex", column="code", pattern="^[0-9]{5}$"),
         X.check("day_shape", "matches_regex", column="day", pattern="^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
@@ -442,7 +446,7 @@ def induced_repairs(spark, sf):
     for kind in range(7):  # every source has its own way to be wrong
         good, bad = split(came.filter(F.col("kind").isin(kind, 7)), checks)
         rows = curate.with_signature(bad.withColumn("rule_violations", F.transform("_error", lambda e: e["name"])))
-        rows = rows.withColumn("row_id", F.col("o_orderkey").cast("string"))
+        rows = tables.cut_lineage(rows.withColumn("row_id", F.col("o_orderkey").cast("string")))  # six steps read them
         found = induce.induced_candidates(rows, good, checks)
         decided = curate.apply_proposals(rows, curate.search_transforms(rows, checks, found))
         mended = reingest.apply_patch(
