@@ -14,7 +14,9 @@ from mendflow.plans import dryrun, remediation
 from mendflow.plans.validation import Validator
 from mendflow.sources import tables
 from mendflow.streaming import validate_stream as VS
+from tests import oracle
 from tests.conftest import rows
+from workloads import stored_queries
 
 DDL = "id int, customer int, code string, status string, seen int"
 CODE = {"name": "code_format", "check": {"function": "matches_regex", "arguments": {"column": "code", "pattern": "^[0-9]{5}$"}}}
@@ -383,3 +385,11 @@ def test_row_checks_run_as_a_plain_stream(spark, tmp_path):
     assert rows(spark.table("checked")) == rows(batch)
     with pytest.raises(ValueError, match="whole batches"):
         VS.validate_rows_stream(stream, [UNIQUE])
+
+
+def test_failing_rows_of_eight_tables_are_found_in_one_scan(spark, monkeypatch):
+    read, check_rows = [], stored_queries.V.validate
+    monkeypatch.setattr(stored_queries.V, "validate", lambda rows_, *a, **k: read.append(rows_.inputFiles()) or check_rows(rows_, *a, **k))
+    done = stored_queries.process_all_shared(spark, f"{oracle.TESTDATA}/sf0.001")
+    assert len(read) == 8 and not any("orders.parquet" in f for files in read for f in files)
+    assert done.count() == 8 and done.filter("queued = reingested AND queued = audited").count() == 8
