@@ -201,3 +201,47 @@ def test_blocks_share_a_pass(spark, planted, monkeypatch):
     passes = list(decontaminate._searches(df, bench))
     assert len(passes) > 1 and sorted(i for p in passes for s in p for i in s.items.ids) == sorted(i for i, _ in items)
     assert want <= {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(df, bench).collect()}
+
+
+def test_the_basis_is_fitted_on_all_documents(spark, monkeypatch):
+    """It holds as much of all passages as the best of its rank, however few documents the fit begins with."""
+    monkeypatch.setattr(decontaminate, "FIT_DOCUMENTS", 2)
+    monkeypatch.setattr(decontaminate, "RANK", 6)
+    monkeypatch.setattr(decontaminate, "OVERSAMPLE", 4)
+    rng = random.Random(8)
+    terms = [f"t{i}" for i in range(90)]
+    texts = []
+    for _ in range(400):  # each of one of fifteen subjects, some of them rarer
+        about = min(int(rng.expovariate(0.4)), 14)
+        texts.append(" ".join(rng.choice(terms[6 * about : 6 * about + 6]) for _ in range(rng.choice([20, 50, 90]))))
+    df = spark.createDataFrame([X.doc(i, t) for i, t in enumerate(texts)], X.DOCS).repartition(4)
+    items = spark.createDataFrame([(1, " ".join(terms))], "item_id long, text string")
+    (search,) = next(decontaminate._searches(df, items))
+
+    def dense(rows):
+        unit = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+        return unit.T @ unit
+
+    p = decontaminate._passages(pa.array(texts), search.items, search.idf)
+    halves = np.zeros((int(p.halves.sum()) + 1, len(search.idf)))
+    np.add.at(halves, (p.half, p.term), p.weight)
+    parts = np.zeros((len(search.items.part_terms), len(search.idf)))
+    for row, own in zip(parts, search.items.part_terms, strict=True):
+        np.add.at(row, own, search.idf[own])
+    left = p.left()
+    # The fit's rows count repeats of a term in a passage by their own weights in the length.
+    size = np.zeros(len(halves))
+    np.add.at(size, p.half, p.weight**2)
+    docs_rows = (halves[left] + halves[p.right(left)]) / np.sqrt(np.maximum(size[left] + size[p.right(left)], 1e-9))[:, None]
+    whole = docs_rows.T @ docs_rows + max(1.0, len(left) / len(parts)) * dense(parts)
+    best = np.linalg.eigvalsh(whole)[::-1][:6].sum()
+    basis = search.basis.astype(np.float64)
+    assert np.trace(basis.T @ whole @ basis) >= 0.97 * best
+
+
+def test_words_that_share_a_slot_of_the_table_are_looked_up():
+    rng = np.random.default_rng(1)
+    terms = np.unique(np.concatenate([rng.integers(0, 2**63, 500).astype(np.uint64), np.arange(20, dtype=np.uint64) << np.uint64(40)]))
+    words = np.concatenate([terms, terms + np.uint64(1), np.uint64(1 << 50) * np.arange(1, 9, dtype=np.uint64)])
+    at = {int(t): i for i, t in enumerate(terms)}
+    assert decontaminate.Vocabulary(terms).lookup(words).tolist() == [at.get(int(w), -1) for w in words]
