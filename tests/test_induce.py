@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from mendflow.functions.transforms import chain
+from mendflow.functions.transforms import chain, chain_sql
 from mendflow.operators import curate, induce
 from tests import oracle
 from tests.conftest import rows
@@ -80,3 +80,20 @@ def test_shapes_counted_by_classes_are_those_of_the_values(spark):
 def test_the_query_reads_the_orders_once(spark):
     found = entry.queries()["induced_repairs"](spark, f"{oracle.TESTDATA}/sf0.001")
     assert found.inputFiles() and not any("orders.parquet" in f for f in found.inputFiles())
+
+
+def test_truncate_is_read_in_any_case_without_the_case_tables_of_the_driver(spark):
+    """lower() of a literal is folded on the driver, which then loads the case tables of all of Unicode."""
+    said = ["true", "TRUE", "True", "tRuE", "false", "true ", "true\n", "", "ſtrue"]
+    frame = spark.createDataFrame([("abcdef",)], "v string")
+    for text in said:
+        fix = {"transform": "left_pad", "length": "3", "pad": "0", "truncate": text}
+        sql = chain_sql([fix], "v")
+        assert "lower(" not in sql
+        assert frame.select(chain([fix], "v").alias("r")).head()["r"] == ("abc" if text.lower() == "true" else "abcdef")
+
+
+def test_the_query_leaves_no_join_of_the_sources_to_its_result(spark):
+    found = entry.queries()["induced_repairs"](spark, f"{oracle.TESTDATA}/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Relation") == 7
